@@ -4,7 +4,7 @@ from importlib import import_module
 
 from pulsegrid.catalog.registry import QUERIES, SQL
 
-FAMILIES = ("rows", "streams")
+FAMILIES = ("rows", "streams", "scores")
 
 
 def load_all():

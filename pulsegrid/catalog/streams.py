@@ -390,12 +390,12 @@ def vann_sql(name: str, source: str, want: str, index: str) -> str:
               WINDOW w AS (PARTITION BY recording_id ORDER BY row_id)) GROUP BY 1) q USING (recording_id))"""
 
 
-VLAB_SQL = vann_sql("va", "(SELECT * FROM mlab WHERE minute_index < 20)", "has_apnea_annotations", "minute_index")
+VLAB_SQL = vann_sql("va", "(SELECT * FROM mlab WHERE label = 'apnea')", "has_apnea_annotations", "minute_index")
 VBEAT_SQL = vann_sql("vb", "(SELECT * FROM beat)", "has_qrs_annotations", "sample_index")
 
 
 def annotation_reports(spark, sf, meta):
-    labels = label_rows(spark, sf).withColumnRenamed("label_at", "recorded_at").where(F.col("minute_index") < 20)
+    labels = label_rows(spark, sf).withColumnRenamed("label_at", "recorded_at").where(F.col("label") == "apnea")
     return (
         va.validate_annotations(labels, meta, "has_apnea_annotations", "minute_index", "row_id"),
         va.validate_annotations(feeds.beats(spark, sf), meta, "has_qrs_annotations", "sample_index", "row_id"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pulsegrid.functions import timeline
 from pulsegrid.plans.joins import broadcast_if_small, join_lookup, salted_join
 from pulsegrid.schema import CHANNELS, MAIN_CHANNEL, SAMPLING_RATE_HZ, WINDOW_SECONDS
+from pulsegrid.session import materialise
 
 
 def bucket_stats(
@@ -158,7 +159,7 @@ def last_label(labels: DataFrame, key: str = "recording_id", order: str = "ordin
 
 def attach_labels(windows: DataFrame, labels: DataFrame, key: str = "recording_id", order: str = "ordinal") -> DataFrame:
     """Left join of windows to the winning label of their minute."""
-    return join_lookup(windows, last_label(labels, key, order), [key, "minute_index"])
+    return join_lookup(windows, last_label(labels, key, order), [key, "minute_index"], computed=True)
 
 
 def attach_event_counts(
@@ -171,7 +172,7 @@ def attach_event_counts(
     """Beats per window, 0 where none; minutes without samples are dropped."""
     minute = timeline.minute_of(F.col("sample_index"), rate, width).alias("minute_index")
     counts = beats.groupBy(key, minute).agg(F.count(F.lit(1)).alias("qrs_count"))
-    joined = join_lookup(windows, counts, [key, "minute_index"])
+    joined = join_lookup(windows, counts, [key, "minute_index"], computed=True)
     return joined.withColumn("qrs_count", F.coalesce(F.col("qrs_count"), F.lit(0)).cast("long"))
 
 
@@ -201,9 +202,10 @@ def window_summaries(
 ) -> DataFrame:
     """Window rows with label, beat count and per-channel statistics.
 
-    One pass over the samples; record statistics come from the window table.
+    One pass over the samples: the window table, thousands of times smaller, is written
+    once and feeds the record statistics and every join.
     """
-    parts = window_partials(signals, channels, rate, width, key, has_extra)
+    parts = materialise(window_partials(signals, channels, rate, width, key, has_extra))
     records = record_stats_from_windows(parts, channels, key).select(
         key,
         *[F.col(f"{c}__mean").alias(f"{c}__rmean") for c in channels],
@@ -211,7 +213,7 @@ def window_summaries(
     )
     out = attach_labels(parts, labels, key, label_order)
     out = attach_event_counts(out, beats, rate, width, key)
-    out = join_lookup(out, records, [key])
+    out = join_lookup(out, records, [key], computed=True)
     open_ = availability(channels, F.col("_extra"))
     entries = []
     for c in channels:
@@ -249,7 +251,8 @@ def assemble_windows(
     minute = timeline.minute_of(F.col("sample_index"), rate, width)
     rows = signals.select(key, minute.alias("minute_index"), *order, value)
     sizes = rows.groupBy(key, "minute_index").agg(F.count(F.lit(1)).alias("n_samples"))
-    over = broadcast_if_small(sizes.where(F.col("n_samples") > samples).select(key, "minute_index"))
+    over = materialise(sizes.where(F.col("n_samples") > samples).select(key, "minute_index"))
+    over = broadcast_if_small(over)
     bounded = rows.join(over, [key, "minute_index"], "left_anti")
     entry = F.struct(*order, F.col(value).alias("_v"))
     return (

@@ -41,7 +41,7 @@ def ranges_per_record(
     start_col: str = "start_at",
 ) -> DataFrame:
     """The same range for every record of ``starts`` (one start per record)."""
-    joined = join_lookup(df, starts.select(record_col, start_col), [record_col], "inner")
+    joined = join_lookup(df, starts.select(record_col, start_col), [record_col], "inner", computed=True)
     end = F.col(start_col) + F.expr(f"interval {width}")
     return joined.where((F.col(time_col) >= F.col(start_col)) & (F.col(time_col) < end))
 

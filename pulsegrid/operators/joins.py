@@ -58,7 +58,7 @@ def align_channels(
     if extra is None:
         return main.select("*", *empty)
     having = (extra if expected is None else expected).select(record).distinct().withColumn("_has", F.lit(True))
-    tagged = join_lookup(main, having, [record])
+    tagged = join_lookup(main, having, [record], computed=True)
     joined = tagged.join(extra.select(*keys, *channels, F.lit(True).alias("_seen")), list(keys), "left")
     return joined.where(F.col("_has").isNull() | F.col("_seen").isNotNull()).drop("_has", "_seen")
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.session import broadcast_row_limit, group_row_limit
+from pulsegrid.session import broadcast_row_limit, group_row_limit, materialise
 
 
 def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
@@ -22,10 +22,21 @@ def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
 
 
 def join_lookup(
-    facts: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left", limit: int | None = None
+    facts: DataFrame,
+    lookup: DataFrame,
+    keys: Sequence[str],
+    how: str = "left",
+    limit: int | None = None,
+    computed: bool = False,
 ) -> DataFrame:
-    """Join rows to a one-row-per-key lookup: broadcast when small, salted when hot."""
+    """Join rows to a one-row-per-key lookup: broadcast when small, salted when hot.
+
+    ``computed`` says that the lookup is itself a result over large input: it is written
+    once, so that counting it does not run that input a second time.
+    """
     small = broadcast_row_limit(facts.sparkSession) if limit is None else limit
+    if computed:
+        lookup = materialise(lookup)
     if lookup.limit(small + 1).count() <= small:
         return facts.join(F.broadcast(lookup), list(keys), how)
     return salted_join(facts, lookup, keys, how)
@@ -55,7 +66,7 @@ def salted_join(
     left_anti.
     """
     keys = list(keys)
-    hot = broadcast_if_small(hot_keys(facts, keys, limit))
+    hot = broadcast_if_small(materialise(hot_keys(facts, keys, limit)))
     spread = facts.join(hot, keys, "left")
     pick = F.pmod(F.xxhash64(*[facts[c] for c in facts.columns]), F.coalesce(F.col("_salts"), F.lit(1)))
     spread = spread.withColumn("_salt", pick.cast("int")).drop("_salts")
@@ -70,4 +81,4 @@ def salted_join(
 def rows_with_keys(df: DataFrame, keys: DataFrame, on: Sequence[str], keep: bool = True) -> DataFrame:
     """Keep (or drop) the rows whose key is listed; the key list is deduplicated first."""
     how = "left_semi" if keep else "left_anti"
-    return join_lookup(df, keys.select(*on).distinct(), on, how)
+    return join_lookup(df, keys.select(*on).distinct(), on, how, computed=True)

@@ -9,7 +9,7 @@ it carry over from a summary of one row per piece.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -136,12 +136,20 @@ class Layout:
 
 
 def layout(
-    df: DataFrame, group: Sequence[str], order: Sequence[str | Column], limit: int | None = None
+    df: DataFrame,
+    group: Sequence[str],
+    order: Sequence[str | Column],
+    limit: int | None = None,
+    bound: int | None = None,
 ) -> Layout:
-    """Choose the plain window for groups of a checked size, the cut layout beyond it."""
+    """Choose the plain window for groups of a checked size, the cut layout beyond it.
+
+    ``bound`` is a known upper bound of the largest group; without it the groups are
+    counted (group columns only).
+    """
     limit = group_row_limit(df.sparkSession) if limit is None else limit
     columns = tuple(F.col(c) if isinstance(c, str) else c for c in order)
-    if largest_group(df, group) <= limit:
+    if (largest_group(df, group) if bound is None else bound) <= limit:
         return Layout(df, tuple(group), columns, split=False)
     keys = [*[F.col(g) for g in group], *columns]
     laid = (
@@ -163,6 +171,28 @@ def with_previous(df, group, order, values, present=None, limit=None) -> DataFra
     return layout(df, group, order, limit).previous(values, present)
 
 
+def value_ranks(df: DataFrame, group: Sequence[str], value: str, limit: int | None = None) -> DataFrame:
+    """Distinct values with their rank interval [_from, _upto) and the group size _all.
+
+    Values are counted first, so repeated values shrink before the shuffle; no group is
+    ever held as a list.
+    """
+    kept = df.where(F.col(value).isNotNull()).select(*group, F.col(value).alias("_value"))
+    bound = largest_group(kept, group)
+    counted = kept.groupBy(*group, "_value").agg(F.count(F.lit(1)).alias("_n"))
+    ranked = layout(counted, group, ["_value"], limit, bound).running({"_upto": "_n"}, {"_all": "_n"})
+    return ranked.withColumn("_from", F.col("_upto") - F.col("_n"))
+
+
+def order_statistic(
+    df: DataFrame, group: Sequence[str], value: str, rank: Callable[[Column], Column], out: str, limit=None
+) -> DataFrame:
+    """The value at a 0-based rank given as a function of the group size."""
+    ranked = value_ranks(df, group, value, limit)
+    k = rank(F.col("_all"))
+    return ranked.where((k >= F.col("_from")) & (k < F.col("_upto"))).select(*group, F.col("_value").alias(out))
+
+
 def quantiles_long(
     df: DataFrame,
     group: Sequence[str],
@@ -170,17 +200,8 @@ def quantiles_long(
     probabilities: Sequence[float],
     limit: int | None = None,
 ) -> DataFrame:
-    """Exact linear-interpolated quantiles as rows (group, probability, quantile).
-
-    Values are counted first, so repeated values shrink before the shuffle; no group is
-    ever held as a list.
-    """
-    counted = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*group, F.col(value).alias("_value"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    ranked = layout(counted, group, ["_value"], limit).running({"_upto": "_n"}, {"_all": "_n"})
+    """Exact linear-interpolated quantiles as rows (group, probability, quantile)."""
+    ranked = value_ranks(df, group, value, limit)
 
     def position(p: Column) -> Column:
         return p * (F.col("_all") - 1)
@@ -188,20 +209,19 @@ def quantiles_long(
     hits = ranked.select(
         *group,
         "_value",
-        "_n",
+        "_from",
         "_upto",
         "_all",
         F.explode(
             F.filter(
                 F.array(*[F.lit(float(p)) for p in probabilities]),
-                lambda p: (F.ceil(position(p)) >= F.col("_upto") - F.col("_n"))
+                lambda p: (F.ceil(position(p)) >= F.col("_from"))
                 & (F.floor(position(p)) < F.col("_upto")),
             )
         ).alias("probability"),
     )
     spot = position(F.col("probability"))
-    start = F.col("_upto") - F.col("_n")
-    held = lambda rank: (rank >= start) & (rank < F.col("_upto"))
+    held = lambda rank: (rank >= F.col("_from")) & (rank < F.col("_upto"))
     ends = hits.groupBy(*group, "probability").agg(
         F.max(F.when(held(F.floor(spot)), F.col("_value"))).alias("_lo"),
         F.max(F.when(held(F.ceil(spot)), F.col("_value"))).alias("_hi"),
