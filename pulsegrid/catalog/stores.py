@@ -47,7 +47,7 @@ def load_tables(spark, sf):
     frames = all_frames(spark, sf)
     logs = []
     for _ in range(2):
-        log, error = tables.load_tables(spark, frames, root, {"recordings": "row_id"})
+        log, error = tables.load_tables(spark, frames, root, {"recordings": "row_id"}, partition=())
         if error:
             raise error
         logs.append({r["table"]: r["rows_inserted"] for r in log})

@@ -142,7 +142,11 @@ def rewrite(spark: SparkSession, df: DataFrame, path: str) -> None:
 
 
 def load_tables(
-    spark: SparkSession, frames: Mapping[str, DataFrame], root: str, orders: Mapping[str, str] | None = None
+    spark: SparkSession,
+    frames: Mapping[str, DataFrame],
+    root: str,
+    orders: Mapping[str, str] | None = None,
+    partition: Sequence[str] = (KEY,),
 ) -> tuple[list[dict[str, Any]], Exception | None]:
     """Load the tables in order, one commit each, and log rows and seconds.
 
@@ -162,7 +166,7 @@ def load_tables(
                 count = write_table(rows, f"{root}/{name}", (), ())
             else:
                 rows = append_missing_records(existing, frames[name])
-                count = write_table(rows, f"{root}/{name}")
+                count = write_table(rows, f"{root}/{name}", partition=partition)
         except Exception as error:  # noqa: BLE001 - reported to the caller with the log
             return log, error
         log.append({"table": name, "rows_inserted": count, "duration_sec": time.perf_counter() - started})
