@@ -164,8 +164,8 @@ def morphology_bins(spark, sf):
 
 @query("ag14_robust_minmax_fit", f"WITH {FIT} SELECT feature, round(lo, 6) AS lo, round(hi, 6) AS hi FROM fit")
 def robust_minmax_fit(spark, sf):
-    bins = te.morphology(feeds.windows(spark, sf), STEPS)
-    return rounded(te.robust_minmax_fit(bins.where(is_control())), "lo", "hi")
+    bins = te.morphology(feeds.windows(spark, sf).where(is_control()), STEPS)
+    return rounded(te.robust_minmax_fit(bins), "lo", "hi")
 
 
 @query("ar02_robust_scale", f"WITH {TENSOR} SELECT window_id, step, feature, round(a, 6) AS value FROM t")
@@ -308,9 +308,9 @@ _CELLS = {
 
 @query("ar13_sequence_features", SEQ_SQL.format(cells=", ".join(f'round({e}, 5) + 0.0 AS "{n}"' for n, e in _CELLS.items())))
 def sequence_features(spark, sf):
-    per = tensor_windows(spark, sf).select("window_id", F.posexplode("x").alias("c", "ch"))
+    featured = te.sequence_features(tensor_windows(spark, sf), ["window_id"]).select("window_id", F.posexplode("features").alias("c", "f"))
     names = F.array(*[F.lit(f) for f in FEATURES])
-    out = per.select("window_id", F.get(names, F.col("c")).alias("feature"), ar.sequence_features(F.col("ch")).alias("f"))
+    out = featured.select("window_id", F.get(names, F.col("c")).alias("feature"), "f")
     return out.select(
         "window_id", "feature", *[r6(F.get("f", F.lit(i)), 5).alias(n) for i, n in enumerate(ar.SEQUENCE_FEATURES)]
     )

@@ -42,10 +42,10 @@ def channel_aggregates(channels: Sequence[str], replaced: str = "{}_replaced", f
     """Partial-aggregable measures of every channel, all in one pass."""
     out: list[Column] = []
     for c in channels:
-        bad = F.coalesce(F.sum(F.col(replaced.format(c)).cast("long")), F.lit(0)) if flags else F.lit(0)
+        bad = F.count_if(F.col(replaced.format(c))) if flags else F.lit(0)
         out += [
             F.count(c).alias(f"{c}__count"),
-            F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)).cast("long").alias(f"{c}__missing_count"),
+            (F.count(F.lit(1)) - F.count(c)).alias(f"{c}__missing_count"),
             bad.cast("long").alias(f"{c}__non_finite_replaced"),
             F.min(c).alias(f"{c}__min"),
             F.max(c).alias(f"{c}__max"),

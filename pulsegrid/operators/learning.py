@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from pulsegrid.functions import arrays as ar
 from pulsegrid.operators import metrics as me
 from pulsegrid.operators.reshape import head
+from pulsegrid.operators.tensors import sequence_features
 from pulsegrid.session import materialise
 
 
@@ -64,11 +65,6 @@ def pca_reconstruct(df: DataFrame, fit_rows: Column, k: int = 16, x: str = "x",
     return batch_predict(df, rebuild, x, out)
 
 
-def with_features(df: DataFrame, x: str = "x", out: str = "_features") -> DataFrame:
-    """The sixteen sequence features of every channel as one array."""
-    return df.withColumn(out, F.flatten(F.transform(F.col(x), ar.sequence_features)))
-
-
 def feature_kmeans(
     df: DataFrame, train: Column, x: str = "x", y: str = "y", top: int = 40, trees: int = 100, seed: int = 42, keys: Sequence[str] = ("window_id", "recording_id")
 ) -> DataFrame:
@@ -76,7 +72,11 @@ def feature_kmeans(
 
     Median imputing, scaling, importances and clusters are all fitted on the training rows.
     """
-    featured = materialise(with_features(df, x).select(*keys, y, train.alias("_train"), "_features"))
+    tagged = df.select(*keys, y, train.alias("_train"), x)
+    featured = sequence_features(tagged, [*keys, y, "_train"], x, "_f").select(
+        *keys, y, "_train", F.flatten("_f").alias("_features")
+    )
+    featured = materialise(featured)
     width = len(featured.select("_features").first()["_features"])
     names = [f"f{i}" for i in range(width)]
     wide = featured.select(*keys, y, "_train", *[F.get("_features", F.lit(i)).alias(n) for i, n in enumerate(names)])

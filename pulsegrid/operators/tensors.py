@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.functions import arrays as ar
+from pulsegrid.functions import batches
 from pulsegrid.plans.joins import join_lookup
 from pulsegrid.plans.ordered import quantiles
 from pulsegrid.schema import FEATURES
@@ -20,9 +21,19 @@ def scan_windows(df: DataFrame, samples: int, array: str = "ecg", order: Sequenc
     return df.withColumn(array, checked).orderBy(*order)
 
 
-def morphology(df: DataFrame, steps: int = 100, array: str = "ecg", out: str = "x") -> DataFrame:
-    """Add the feature tensor of each window."""
-    return df.withColumn(out, ar.morphology_bins(F.col(array), steps))
+def morphology(df: DataFrame, steps: int = 100, array: str = "ecg", out: str = "x", arrow: bool = True) -> DataFrame:
+    """Add the feature tensor of each window, in Arrow batches or as a plain expression."""
+    make = batches.morphology_bins if arrow else ar.morphology_bins
+    return df.withColumn(out, make(F.col(array), steps))
+
+
+def sequence_features(
+    df: DataFrame, keys: Sequence[str], tensor: str = "x", out: str = "features", arrow: bool = True
+) -> DataFrame:
+    """Sixteen features per channel of every window as an array of arrays, beside the keys."""
+    if arrow:
+        return batches.map_tensor(df, keys, tensor, out, batches.sequence_features)
+    return df.select(*keys, F.transform(F.col(tensor), ar.sequence_features).alias(out))
 
 
 def tensor_long(df: DataFrame, keys: Sequence[str], tensor: str = "x", names: Sequence[str] = FEATURES) -> DataFrame:
@@ -63,9 +74,8 @@ def model_input(
     windows: DataFrame, fit_rows: Column, steps: int = 100, array: str = "ecg", lower: float = 1.0, upper: float = 99.0
 ) -> DataFrame:
     """Morphology tensor scaled with bounds fitted on the rows for which ``fit_rows`` holds."""
-    bins = morphology(windows, steps, array)
-    fit = robust_minmax_fit(bins.where(fit_rows), lower=lower, upper=upper)
-    return robust_scale(bins, fit)
+    fit = robust_minmax_fit(morphology(windows.where(fit_rows), steps, array), lower=lower, upper=upper)
+    return robust_scale(morphology(windows, steps, array), fit)
 
 
 def feature_profile(
