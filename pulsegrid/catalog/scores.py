@@ -564,9 +564,10 @@ def best_individual_threshold(spark, sf):
     return rounded(me.best_individual_threshold(records(spark, sf)), "individual_tau", "individual_acc")
 
 
+_GRID_SQL = ", ".join(f"{v!r}::DOUBLE" for v in me.GRID)
+_PROB_SQL = ", ".join(repr(v) for v in me.QUANTILE_GRID)
 BALANCED = f"""{PRED}, sc AS (SELECT *, score / 20000 AS s FROM pred), cand AS (
-    SELECT 0.05::DOUBLE + i * 0.01::DOUBLE AS tau FROM range(91) r(i)
-    UNION SELECT unnest(quantile_cont(s, [{', '.join(f'{i / 100}' for i in range(1, 100))}])) FROM sc),
+    SELECT unnest([{_GRID_SQL}]) AS tau UNION SELECT unnest(quantile_cont(s, [{_PROB_SQL}])) FROM sc),
   c AS (SELECT tau, count(*) FILTER (y_true = 0 AND s < tau) AS tn, count(*) FILTER (y_true = 0 AND s >= tau) AS fp,
         count(*) FILTER (y_true = 1 AND s < tau) AS fn, count(*) FILTER (y_true = 1 AND s >= tau) AS tp FROM sc, cand GROUP BY 1),
   m AS (SELECT tau, CASE WHEN 2*tp+fp+fn > 0 THEN 2.0::DOUBLE*tp/(2*tp+fp+fn) ELSE 0 END AS f1, CASE WHEN tp+fp > 0 THEN tp::DOUBLE/(tp+fp) ELSE 0 END AS precision,

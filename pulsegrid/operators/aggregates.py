@@ -158,8 +158,12 @@ def last_label(labels: DataFrame, key: str = "recording_id", order: str = "ordin
 
 
 def attach_labels(windows: DataFrame, labels: DataFrame, key: str = "recording_id", order: str = "ordinal") -> DataFrame:
-    """Left join of windows to the winning label of their minute."""
-    return join_lookup(windows, last_label(labels, key, order), [key, "minute_index"], computed=True)
+    """Left join of windows to the winning label of their minute.
+
+    Both sides are grouped on the join keys, so the join adds no shuffle to an aggregated
+    window table; the keys are unique, so it cannot skew.
+    """
+    return windows.join(last_label(labels, key, order), [key, "minute_index"], "left")
 
 
 def attach_event_counts(
@@ -172,7 +176,7 @@ def attach_event_counts(
     """Beats per window, 0 where none; minutes without samples are dropped."""
     minute = timeline.minute_of(F.col("sample_index"), rate, width).alias("minute_index")
     counts = beats.groupBy(key, minute).agg(F.count(F.lit(1)).alias("qrs_count"))
-    joined = join_lookup(windows, counts, [key, "minute_index"], computed=True)
+    joined = windows.join(counts, [key, "minute_index"], "left")
     return joined.withColumn("qrs_count", F.coalesce(F.col("qrs_count"), F.lit(0)).cast("long"))
 
 
@@ -202,18 +206,19 @@ def window_summaries(
 ) -> DataFrame:
     """Window rows with label, beat count and per-channel statistics.
 
-    One pass over the samples: the window table, thousands of times smaller, is written
-    once and feeds the record statistics and every join.
+    One pass over the samples. Samples, labels and beats are all grouped on (record,
+    minute), so joining them adds no shuffle; the joined window table, thousands of times
+    smaller than the samples, is written once and gives the record statistics.
     """
-    parts = materialise(window_partials(signals, channels, rate, width, key, has_extra))
+    parts = window_partials(signals, channels, rate, width, key, has_extra)
+    parts = attach_labels(parts, labels, key, label_order)
+    parts = materialise(attach_event_counts(parts, beats, rate, width, key))
     records = record_stats_from_windows(parts, channels, key).select(
         key,
         *[F.col(f"{c}__mean").alias(f"{c}__rmean") for c in channels],
         *[F.when(F.col(f"{c}__count") > 1, F.col(f"{c}__std")).alias(f"{c}__rstd") for c in channels],
     )
-    out = attach_labels(parts, labels, key, label_order)
-    out = attach_event_counts(out, beats, rate, width, key)
-    out = join_lookup(out, records, [key], computed=True)
+    out = join_lookup(parts, records, [key], computed=True)
     open_ = availability(channels, F.col("_extra"))
     entries = []
     for c in channels:

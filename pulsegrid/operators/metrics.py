@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -234,8 +235,8 @@ def best_individual_threshold(records: DataFrame, by: Sequence[str] = (), limit=
 
 
 # The candidate grid and the weights of the selection score.
-GRID = tuple(0.05 + i * 0.01 for i in range(91))
-QUANTILE_GRID = tuple(i / 100 for i in range(1, 100))
+GRID = tuple(np.linspace(0.05, 0.95, 91).tolist())
+QUANTILE_GRID = tuple(np.linspace(0.01, 0.99, 99).tolist())
 
 
 def balanced_threshold_sweep(

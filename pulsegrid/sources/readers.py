@@ -114,7 +114,9 @@ def read_samples(
         "_frames",
     )
     ranges = ranges.withColumn("n", F.least(F.lit(frames_per_task).cast("long"), F.col("_frames") - F.col("first"))).drop("_frames")
-    ranges = ranges.repartition("path", "first")
+    # an explicit number, because AQE would merge these few bytes of work orders into one task
+    tasks = files.agg(F.sum(F.ceil(F.greatest("_frames", F.lit(0)) / frames_per_task))).first()[0] or 1
+    ranges = ranges.repartition(max(1, int(tasks)))
     step = 200_000
 
     def load(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
