@@ -41,7 +41,7 @@ def staged_ingest(spark, sf):
     staging, store = scratch_path(spark, "staging"), scratch_path(spark, "store")
     names = ("signals", "annotations_apnea", "annotations_qrs")
     frames = {n: f for n, f in all_frames(spark, sf).items() if n in names}
-    ingest.stage(frames, staging)
+    ingest.stage(frames, staging, ())
     ingest.announce(frames["signals"].repartition(2, "recording_id"), staging)
     passing = lambda f: f["signals"].groupBy("recording_id").count().select("recording_id", F.lit("pass").alias("status"))
     checkpoint = scratch_path(spark, "staging-state")
@@ -60,7 +60,7 @@ def resume(spark, sf):
     """A load that breaks in its first batch and is resumed from the same checkpoint."""
     staging, store = scratch_path(spark, "staging"), scratch_path(spark, "store")
     frames = {"signals": all_frames(spark, sf)["signals"]}
-    ingest.stage(frames, staging)
+    ingest.stage(frames, staging, ())
     ingest.announce(frames["signals"], staging)
     checkpoint = scratch_path(spark, "staging-state")
     status = lambda s: lambda f: f["signals"].groupBy("recording_id").count().select("recording_id", F.lit(s).alias("status"))

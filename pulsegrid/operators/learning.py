@@ -113,13 +113,14 @@ def supervised_baseline(
     df: DataFrame, train: Column, val: Column, x: str = "x", y: str = "y", keys: Sequence[str] = ("window_id", "recording_id"), **sweep
 ) -> tuple[DataFrame, float]:
     """Class-weighted classifier; the threshold is chosen on the validation rows only."""
-    rows = df.select(*keys, y, train.alias("is_train"), val.alias("is_val"), array_to_vector(F.flatten(F.col(x))).alias("_v"))
+    rows = df.select(*keys, y, train.alias("is_train"), val.alias("is_val"), F.flatten(F.col(x)).alias("_a"))
     weights = me.balanced_class_weights(rows.where("is_train"), y)
-    fit = me.with_class_weights(rows.where("is_train"), weights, y, "_w")
+    fit = me.with_class_weights(rows.where("is_train"), weights, y, "_w").withColumn("_v", array_to_vector("_a"))
     model = LogisticRegression(featuresCol="_v", labelCol=y, weightCol="_w", regParam=0.01, maxIter=50).fit(fit)
-    scored = model.transform(rows).select(
-        *keys, y, "is_train", "is_val", F.get(vector_to_array("probability"), F.lit(1)).alias("score")
-    )
+    # scored from the coefficients: a fitted model that keeps its summary cannot be sent to
+    # tasks in a session that has observed a write
+    line = ar.dot(F.col("_a"), F.array(*[F.lit(float(c)) for c in model.coefficients])) + float(model.intercept)
+    scored = rows.select(*keys, y, "is_train", "is_val", (1.0 / (1.0 + F.exp(-line))).alias("score"))
     table = me.balanced_threshold_sweep(scored.where("is_val"), y, "score", **sweep)
     tau = me.best_balanced_threshold(table).first()["threshold"]
     return me.flag_scores(scored, tau, "score", inclusive=True), tau

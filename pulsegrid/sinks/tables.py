@@ -6,11 +6,11 @@ import time
 from collections.abc import Mapping, Sequence
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.operators.joins import without_match
-from pulsegrid.operators.sequence import last_wins
 from pulsegrid.plans.joins import rows_with_keys
 
 # Tables in load order, with the key that an insert must not repeat.
@@ -32,11 +32,16 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
-    """The table, or None when nothing was written yet."""
+    """The table, or None when nothing was written yet or all its files are gone."""
     if not exists(spark, path):
         return None
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(path)
+    try:
+        return reader.parquet(path)
+    except AnalysisException as error:
+        if "UNABLE_TO_INFER_SCHEMA" in str(error):
+            return None
+        raise
 
 
 def layout(df: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
@@ -73,8 +78,9 @@ def first_per_key(rows: DataFrame, key: str, order: str | None) -> DataFrame:
     """One row per key: the first by ``order``, any when no order is given."""
     if order is None:
         return rows.dropDuplicates([key])
-    flipped = -F.col(order)
-    return last_wins(rows, [key], flipped)
+    rest = [c for c in rows.columns if c != key]
+    best = rows.groupBy(key).agg(F.min_by(F.struct(*rest), order).alias("_first"))
+    return best.select(key, "_first.*").select(*rows.columns)
 
 
 def insert_ignore(existing: DataFrame | None, rows: DataFrame, key: str, order: str | None = None) -> DataFrame:

@@ -23,10 +23,12 @@ KEY = "recording_id"
 MANIFEST = "recording_id string"
 
 
-def stage(frames: Mapping[str, DataFrame], root: str) -> None:
-    """Write the tables of new records to staging (one folder per table)."""
+def stage(frames: Mapping[str, DataFrame], root: str, partition: Sequence[str] = (KEY,)) -> None:
+    """Write the tables of new records to staging, by record so that they can be dropped."""
     for name, df in frames.items():
-        df.write.mode("append").parquet(f"{root}/{name}")
+        keys = [k for k in partition if k in df.columns]
+        ordered = df.repartitionByRange(KEY) if keys else df
+        ordered.write.mode("append").partitionBy(*keys).parquet(f"{root}/{name}")
 
 
 def announce(records: DataFrame, root: str) -> None:
@@ -71,6 +73,8 @@ def staged_ingest(
                 continue
             if KEY in staged.columns:
                 frames[name] = rows_with_keys(staged, records, [KEY])
+        if not frames:
+            return  # loaded and dropped before an interruption
         if subjects_of is not None and "recordings" in frames:
             frames["subjects"] = subjects_of(frames["recordings"])
         report = materialise(validate(frames))
@@ -86,7 +90,7 @@ def staged_ingest(
             ).parquet(f"{store}/_log/batch={number}")
         if error is not None:
             raise error
-        if not keep_staging:
+        if not keep_staging:  # staged by record, see stage()
             ids = [r[KEY] for r in records.toLocalIterator()]
             for name in names:
                 tables.drop_partitions(spark, f"{staging}/{name}", ids)

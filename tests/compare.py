@@ -88,7 +88,7 @@ def main(argv):
                 n = len(fn(spark, sf_dir).collect())
                 why = None if n else "no rows"
         except Exception as e:  # noqa: BLE001
-            why = f"{type(e).__name__}: {str(e)[:1500]}"
+            why = f"{type(e).__name__}: {str(e)[:400]}"
         kind = "sql " if name in sql else "rows"
         print(f"{'ok  ' if why is None else 'BAD '} {kind} {time.time() - t:6.2f}s {name} {why or ''}", flush=True)
         bad += why is not None

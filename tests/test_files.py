@@ -267,7 +267,8 @@ def test_staged_ingest_stops_and_resumes(spark, extracted, tmp_path):
     accept = lambda f: f["signals"].select("recording_id", F.lit("pass").alias("status")).distinct()
     seen = lambda r: r.select("subject_id", F.lit("n").alias("notes")).distinct()
     for _ in range(2):
-        ingest.staged_ingest(spark, staging, store, state, accept, subjects_of=seen).awaitTermination()
+        ingest.staged_ingest(spark, staging, store, state, accept, subjects_of=seen, keep_staging=False).awaitTermination()
+    assert tables.read_table(spark, f"{staging}/signals") is None
     assert spark.read.parquet(f"{store}/signals").count() == 1810
     assert spark.read.parquet(f"{store}/subjects").count() == 2
 
