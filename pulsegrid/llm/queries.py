@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsegrid.llm import sharding, urls
+from pulsegrid.llm import sharding, simhash, urls
 from pulsegrid.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,8 @@ def url_cascade(spark, sf):
     sites = [(f"{name}.{under}",) for name in LISTED_SITES for under in LISTED_UNDER]
     listed = spark.createDataFrame(sites, "host string")
     return urls.judge_urls(table(spark, sf, "pages"), URL_RULES, listed)
+
+
+@query("op7_simhash_trees")
+def simhash_trees(spark, sf):
+    return simhash.near_duplicates(table(spark, sf, "documents"))
