@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsegrid.llm import sharding, simhash, urls
+from pulsegrid.llm import quality, sharding, simhash, urls
 from pulsegrid.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,8 @@ def url_cascade(spark, sf):
 @query("op7_simhash_trees")
 def simhash_trees(spark, sf):
     return simhash.near_duplicates(table(spark, sf, "documents"))
+
+
+@query("op9_risk_controlled_rules")
+def risk_controlled_rules(spark, sf):
+    return quality.judge_quality(table(spark, sf, "documents"), table(spark, sf, "labels"))
