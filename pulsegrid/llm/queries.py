@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsegrid.llm import quality, sharding, simhash, urls
+from pulsegrid.llm import langid, quality, sharding, simhash, urls
 from pulsegrid.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +58,8 @@ def simhash_trees(spark, sf):
 @query("op9_risk_controlled_rules")
 def risk_controlled_rules(spark, sf):
     return quality.judge_quality(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query("op8_string_kernel_language")
+def string_kernel_language(spark, sf):
+    return langid.identify_held_out(table(spark, sf, "documents"))
