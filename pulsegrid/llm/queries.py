@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsegrid.llm import langid, quality, sharding, simhash, urls
+from pulsegrid.llm import langid, linededup, quality, sharding, simhash, urls
 from pulsegrid.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,8 @@ def risk_controlled_rules(spark, sf):
 @query("op8_string_kernel_language")
 def string_kernel_language(spark, sf):
     return langid.identify_held_out(table(spark, sf, "documents"))
+
+
+@query("op4_line_windows", linededup.ORACLE)
+def line_windows(spark, sf):
+    return linededup.dedup_lines(table(spark, sf, "documents")).select("doc_id", "text", "n_removed")
