@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsegrid.llm import langid, linededup, quality, sharding, simhash, urls
+from pulsegrid.llm import langid, linededup, mixing, quality, sharding, simhash, urls
 from pulsegrid.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,11 @@ def string_kernel_language(spark, sf):
 @query("op4_line_windows", linededup.ORACLE)
 def line_windows(spark, sf):
     return linededup.dedup_lines(table(spark, sf, "documents")).select("doc_id", "text", "n_removed")
+
+
+REPEAT_LIMIT = 2.0
+
+
+@query("op6_temperature_mix", mixing.oracle(REPEAT_LIMIT))
+def temperature_mix(spark, sf):
+    return mixing.mixture(table(spark, sf, "documents"), repeat_limit=REPEAT_LIMIT)
