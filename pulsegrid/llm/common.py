@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -19,6 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """A public tokenizer's file: in the folder that PULSEGRID_TOKENIZERS names, else the installed one."""
+    folder = os.environ.get("PULSEGRID_TOKENIZERS", "/opt/tokenizers")
+    return f"{folder}/{name}"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 

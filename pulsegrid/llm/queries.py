@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsegrid.llm import langid, linededup, mixing, quality, sharding, simhash, urls
-from pulsegrid.llm.common import table
+from pulsegrid.llm import langid, linededup, mixing, pieces, quality, sharding, simhash, urls
+from pulsegrid.llm.common import table, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 N_SHARDS = 16
+PIECE_MODEL = "piece_bpe_32k.model"
 
 
 def query(name: str, sql: str | None = None):
@@ -76,3 +77,9 @@ REPEAT_LIMIT = 2.0
 @query("op6_temperature_mix", mixing.oracle(REPEAT_LIMIT))
 def temperature_mix(spark, sf):
     return mixing.mixture(table(spark, sf, "documents"), repeat_limit=REPEAT_LIMIT)
+
+
+@query("op3_sentencepiece_viterbi")
+def sentencepiece_viterbi(spark, sf):
+    model = pieces.load_model(tokenizer_path(PIECE_MODEL))
+    return pieces.encode_documents(table(spark, sf, "documents"), model)
