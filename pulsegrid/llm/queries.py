@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsegrid.llm import langid, linededup, mixing, pieces, quality, sharding, simhash, urls
+from pulsegrid.llm import html, langid, linededup, mixing, pieces, quality, sharding, simhash, urls
 from pulsegrid.llm.common import table, tokenizer_path
+from pulsegrid.llm.html_pages import PAGES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -83,3 +84,9 @@ def temperature_mix(spark, sf):
 def sentencepiece_viterbi(spark, sf):
     model = pieces.load_model(tokenizer_path(PIECE_MODEL))
     return pieces.encode_documents(table(spark, sf, "documents"), model)
+
+
+@query("op2_main_text")
+def main_text(spark, sf):
+    tree = html.fit_tree(*html.labelled_rows(PAGES))
+    return html.extract_main_text(table(spark, sf, "pages"), tree)
