@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsegrid.llm import html, langid, linededup, mixing, pieces, quality, sharding, simhash, urls
+from pulsegrid.llm import html, langid, linededup, mixing, multiindex, pieces, quality, sharding, simhash, urls
 from pulsegrid.llm.common import table, tokenizer_path
 from pulsegrid.llm.html_pages import PAGES
 
@@ -90,3 +90,8 @@ def sentencepiece_viterbi(spark, sf):
 def main_text(spark, sf):
     tree = html.fit_tree(*html.labelled_rows(PAGES))
     return html.extract_main_text(table(spark, sf, "pages"), tree)
+
+
+@query("op1_inverted_multi_index")
+def inverted_multi_index(spark, sf):
+    return multiindex.near_vectors(table(spark, sf, "embeddings"))
