@@ -26,7 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.common import pieces
@@ -190,6 +190,24 @@ def identify(docs: DataFrame, model: LanguageModel | None, key: str = "doc_id")
     return docs.select(key, "text").mapInArrow(run, f"{key} {kind}, lang_pred string, score double")
 
 
+def language(model: LanguageModel | None, text: Column, spark: SparkSession) -> Column:
+    """struct(lang_pred, score) of a text column, for use beside other columns."""
+    sent = spark.sparkContext.broadcast(model)
+
+    def run(texts: pd.Series) -> pd.DataFrame:
+        names, score = predict(sent.value, texts.tolist())
+        return pd.DataFrame({"lang_pred": names, "score": score})
+
+    return F.pandas_udf(run, "lang_pred string, score double")(text)
+
+
+def without_unknown_language(docs: DataFrame) -> DataFrame:
+    """All columns of the documents whose language is known; learns from all labelled ones."""
+    found = language(learn(docs), F.col("text"), docs.sparkSession)
+    packed = docs.select(F.struct("*").alias("_pg_row"), found.alias("_pg_found"))
+    return packed.where(F.col("_pg_found.lang_pred") != UNKNOWN).select("_pg_row.*")
+
+
 def identify_held_out(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score; learns from labelled documents that are not held out."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")

@@ -33,6 +33,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from pulsegrid.llm.common import ragged, utf8, written
 from pulsegrid.llm.components import connected_components, forest
@@ -71,14 +72,14 @@ def fingerprint(text: bytes | None) -> int:
 
 def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        made = np.array([fingerprint(x.as_py()) for x in batch.column(1)], dtype=np.uint64)
-        yield pa.record_batch([batch.column(0), pa.array(made.view(np.int64))], names=["doc_id", "fp"])
+        made = np.array([fingerprint(x.as_py()) for x in batch.column(2)], dtype=np.uint64)
+        yield pa.record_batch([batch.column(0), batch.column(1), pa.array(made.view(np.int64))], names=["doc_id", "digest", "fp"])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, fp (the fingerprint's bits as a signed long)."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8("text").alias("text"))
-    return rows.mapInArrow(_fingerprint_batches, "doc_id long, fp long")
+    """doc_id, digest of the text, fp (the fingerprint's bits as a signed long)."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("digest"), utf8("text").alias("text"))
+    return rows.mapInArrow(_fingerprint_batches, "doc_id long, digest long, fp long")
 
 
 def _segment_distances(fp: np.ndarray, half: int) -> np.ndarray:
@@ -248,8 +249,8 @@ def fingerprint_links(distinct: DataFrame) -> DataFrame:
     return ordered.mapInArrow(_link_batches, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable)."""
+def _groups(docs: DataFrame) -> DataFrame:
+    """doc_id, digest, fp, root (a fingerprint that names the component), component_id."""
     rows = written(fingerprints(docs), "fingerprints")
     distinct = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
     roots = connected_components(written(fingerprint_links(distinct), "links"))
@@ -257,10 +258,27 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     tied = tied.unionByName(tied.select(F.col("root").alias("fp"), "root").distinct())
     tied = written(distinct.join(tied, "fp"), "tied")
     smallest = tied.groupBy("root").agg(F.min("first").alias("component_id"))
-    grouped = tied.join(smallest, "root").select("fp", "component_id")
-    label = written(
-        distinct.join(grouped, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id")), "labels"
-    )
-    return rows.join(label, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
-    )
+    grouped = tied.join(smallest, "root").select("fp", "root", "component_id")
+    label = distinct.join(grouped, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component_id", "first").alias("component_id"))
+    return rows.join(written(label, "labels"), "fp")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable)."""
+    return _groups(docs).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def without_near_duplicates(docs: DataFrame) -> DataFrame:
+    """All columns of one document of each component: the one with the smallest doc_id.
+
+    Null doc_ids come last; among equal doc_ids a digest of the text decides, and of rows that
+    are equal in both one stays.
+    """
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")
+    first = _groups(docs).groupBy("root").agg(F.min(key).alias("first"))
+    first = written(first.select(F.col("first.doc_id").alias("_pg_id"), F.col("first.digest").alias("_pg_digest")), "representatives")
+    packed = docs.select(F.struct("*").alias("_pg_row"), F.col("doc_id").cast("long").alias("_pg_doc"), F.xxhash64("text").alias("_pg_text"))
+    same = F.col("_pg_doc").eqNullSafe(F.col("_pg_id")) & (F.col("_pg_text") == F.col("_pg_digest"))
+    one = Window.partitionBy("_pg_doc", "_pg_text").orderBy("_pg_doc")
+    kept = packed.join(first, same, "left_semi").withColumn("_pg_nth", F.row_number().over(one)).where("_pg_nth = 1")
+    return kept.select("_pg_row.*")
