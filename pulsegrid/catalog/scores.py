@@ -112,7 +112,7 @@ def fingerprint(spark, sf):
 
 # ---------------------------------------------------------------- tensors
 
-BINS = f"""{WIN}, bins AS (
+BINS = f"""{SPLIT}, bins AS (
   SELECT window_id, recording_id, y, split, CAST(pos // 4 AS INT) AS step, avg(v) AS "mean", stddev_pop(v) AS "std", min(v) AS "min",
          max(v) AS "max", max(v) - min(v) AS "range", arg_max(v, pos) - arg_min(v, pos) AS slope, avg(v * v) AS energy
   FROM smp GROUP BY ALL),
@@ -122,7 +122,8 @@ bl AS (""" + " UNION ALL ".join(
 ) + ")"
 
 FIT = f"""{BINS}, q AS (SELECT feature, quantile_cont(value, 0.01) AS qlo, quantile_cont(value, 0.99) AS qhi, min(value) AS vlo,
-   max(value) AS vhi FROM bl WHERE recording_id LIKE 'c%' AND y = 0 GROUP BY 1),
+   max(value) AS vhi FROM bl WHERE recording_id LIKE 'c%' AND y = 0
+     AND window_id IN (SELECT window_id FROM spl WHERE model_split = 'train') GROUP BY 1),
  fit AS (SELECT feature, CASE WHEN qhi > qlo THEN qlo WHEN vhi > vlo THEN vlo ELSE 0 END AS lo,
                 CASE WHEN qhi > qlo THEN qhi WHEN vhi > vlo THEN vhi ELSE 1 END AS hi FROM q)"""
 
@@ -139,8 +140,13 @@ def is_control():
     return F.col("recording_id").startswith("c") & (F.col("y") == 0)
 
 
+def is_fit_row():
+    """Training windows of controls: all that bounds, components and thresholds may see."""
+    return is_control() & (F.col("model_split") == "train")
+
+
 def tensor_windows(spark, sf):
-    return te.model_input(feeds.windows(spark, sf), is_control(), STEPS)
+    return te.model_input(split_windows(spark, sf), is_fit_row(), STEPS)
 
 
 def reconstructed(spark, sf):
@@ -151,7 +157,7 @@ def losses(spark, sf):
     x = reconstructed(spark, sf)
     mean_loss, detail_loss = ar.mean_and_detail_loss(F.col("x"), F.col("x_hat"))
     return x.select(
-        "window_id", "recording_id", "y", "split", ar.weighted_mse(F.col("x"), F.col("x_hat")).alias("loss"),
+        "window_id", "recording_id", "y", "split", "model_split", ar.weighted_mse(F.col("x"), F.col("x_hat")).alias("loss"),
         mean_loss.alias("mean_loss"), detail_loss.alias("detail_loss"), "x", "x_hat",
     )
 
@@ -164,7 +170,7 @@ def morphology_bins(spark, sf):
 
 @query("ag14_robust_minmax_fit", f"WITH {FIT} SELECT feature, round(lo, 6) AS lo, round(hi, 6) AS hi FROM fit")
 def robust_minmax_fit(spark, sf):
-    bins = te.morphology(feeds.windows(spark, sf).where(is_control()), STEPS)
+    bins = te.morphology(split_windows(spark, sf).where(is_fit_row()), STEPS)
     return rounded(te.robust_minmax_fit(bins), "lo", "hi")
 
 
@@ -260,20 +266,16 @@ def window_cosine(spark, sf):
     return rounded(x.groupBy("recording_id").agg(F.avg("p").alias("cosine")), "cosine")
 
 
-FOLDS = SPLIT.replace(f"{WIN}, ", "")
-
-
 @query(
     "ar11_reconstruction_quality",
-    f"""WITH {CORR}, {FOLDS}, pp AS (SELECT CASE WHEN model_split = 'train' AND y = 0 THEN 'Training' WHEN model_split = 'val' THEN 'Validation'
+    f"""WITH {CORR}, pp AS (SELECT CASE WHEN model_split = 'train' AND y = 0 THEN 'Training' WHEN model_split = 'val' THEN 'Validation'
          WHEN model_split = 'test' AND y = 0 THEN 'Test (Healthy)' WHEN model_split = 'test' AND y = 1 THEN 'Test (Anomalous)' END AS part, cr.*
          FROM cr JOIN spl USING (window_id))
        SELECT part, round(sum(ae) / sum(n) * 1e3, 6) AS mae_x1e3, round(sqrt(sum(se) / sum(n)) * 1e3, 6) AS rmse_x1e3,
               round(avg(pearson), 6) AS pearson, round(avg(cosine), 6) AS cosine FROM pp WHERE part IS NOT NULL GROUP BY 1""",
 )
 def reconstruction_quality(spark, sf):
-    split = split_windows(spark, sf).select("window_id", "model_split")
-    x = reconstructed(spark, sf).join(split, "window_id")
+    x = reconstructed(spark, sf)
     q = te.reconstruction_quality(x, te.quality_part(F.col("model_split"), F.col("y")))
     return rounded(q, "mae_x1e3", "rmse_x1e3", "pearson", "cosine")
 
@@ -329,21 +331,33 @@ def scale_by_max(spark, sf):
 @query(
     "ag30_error_reference",
     f"""WITH {TENSOR} SELECT round(avg(abs(a - b)), 6) AS mean_error, round(avg(abs(a - b)) + 2 * stddev_pop(abs(a - b)), 6) AS high_error
-       FROM t WHERE feature = 'std' AND recording_id LIKE 'c%' AND y = 0""",
+       FROM t WHERE feature = 'std' AND recording_id LIKE 'c%' AND y = 0 AND window_id IN (SELECT window_id FROM spl WHERE model_split = 'train')""",
 )
 def error_reference(spark, sf):
-    return rounded(te.error_reference(reconstructed(spark, sf).where(is_control()), 1), "mean_error", "high_error")
+    return rounded(te.error_reference(reconstructed(spark, sf).where(is_fit_row()), 1), "mean_error", "high_error")
 
 
 @query(
     "ml01_score_and_flag",
-    f"""WITH {TENSOR}, tau AS (SELECT quantile_cont(loss, 0.85) AS tau FROM loss WHERE recording_id LIKE 'c%' AND y = 0)
-       SELECT window_id, y, round(loss, 8) AS loss, CASE WHEN loss > tau THEN 1 ELSE 0 END AS y_pred FROM loss, tau""",
+    f"""WITH {TENSOR}, ls AS (SELECT loss.*, model_split FROM loss JOIN spl USING (window_id)),
+       tau AS (SELECT quantile_cont(loss, 0.85) AS tau FROM ls WHERE recording_id LIKE 'c%' AND y = 0 AND model_split = 'train')
+       SELECT window_id, y, model_split, round(loss, 8) AS loss, CASE WHEN loss > tau THEN 1 ELSE 0 END AS y_pred FROM ls, tau
+       WHERE model_split IN ('val', 'test')""",
 )
 def score_and_flag(spark, sf):
-    scored = losses(spark, sf).select("window_id", "recording_id", "y", "loss")
-    tau = me.percentile_threshold(scored.where(is_control()), 85.0, "loss").first()["tau"]
-    return rounded(me.flag_scores(scored, tau, "loss").select("window_id", "y", "loss", "y_pred"), "loss", digits=8)
+    """Flags of validation and test windows; the threshold is that of the training controls."""
+    scored = losses(spark, sf).select("window_id", "recording_id", "y", "model_split", "loss")
+    tau = fitted_threshold(scored)
+    flagged = me.flag_scores(scored.where(F.col("model_split").isin("val", "test")), tau, "loss")
+    return rounded(flagged.select("window_id", "y", "model_split", "loss", "y_pred"), "loss", digits=8)
+
+
+def fitted_threshold(scored, percent=85.0):
+    """Percentile of the loss of the training controls; without any there is no threshold."""
+    tau = me.percentile_threshold(scored.where(is_fit_row()), percent, "loss").first()
+    if tau is None or tau["tau"] is None:
+        raise ValueError("no control windows in the training split to take the threshold from")
+    return tau["tau"]
 
 
 @query(

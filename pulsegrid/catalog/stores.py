@@ -187,7 +187,7 @@ def read_samples(spark, sf):
     root = scratch_path(spark, "samples")
     values = feeds.table(spark, sf, "events").select((F.col("value") / 5).alias("value"))
     exports.write_samples(values, "value", root).collect()
-    back = readers.read_samples(spark, root, ["value"], frames_per_task=5000)
+    back = readers.read_samples(spark, root, ["value"], range_bytes=10_000)
     return back.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -257,8 +257,9 @@ def sequence_features(x: Column) -> Column:
 
 def _uniform(seed: int, *keys: Column) -> Column:
     """A number in (0, 1) fixed by the seed and the keys, the same on every retry."""
-    h = F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(1 << 52))
-    return (h.cast("double") + 0.5) / float(1 << 52)
+    text = F.concat_ws("|", F.lit(str(seed)), *[k.cast("string") for k in keys])
+    drawn = F.conv(F.substring(F.md5(text.cast("binary")), 1, 12), 16, 10).cast("double")
+    return (drawn + 0.5) / float(1 << 48)
 
 
 def gaussian(seed: int, *keys: Column) -> Column:

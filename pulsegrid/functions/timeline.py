@@ -10,6 +10,13 @@ from pulsegrid.schema import BASE_TIME, SAMPLING_RATE_HZ, WINDOW_SECONDS
 MICROS = 1_000_000
 
 
+def rate_of(rate: Column | int | str) -> Column:
+    """A sampling rate given as a number, as the name of a column or as a column."""
+    if isinstance(rate, int):
+        return F.lit(rate)
+    return (F.col(rate) if isinstance(rate, str) else rate).cast("long")
+
+
 def micros(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 
@@ -41,9 +48,9 @@ def floor_div(value: Column, by: int | Column) -> Column:
     return F.call_function("div", value - F.pmod(value, by), by)
 
 
-def minute_of(index: Column, rate: int = SAMPLING_RATE_HZ, width: int = WINDOW_SECONDS) -> Column:
+def minute_of(index: Column, rate: Column | int | str = SAMPLING_RATE_HZ, width: int = WINDOW_SECONDS) -> Column:
     """Window number of a sample index."""
-    return floor_div(index.cast("long"), rate * width)
+    return floor_div(index.cast("long"), rate * width if isinstance(rate, int) else rate_of(rate) * F.lit(width))
 
 
 def bucket(ts: Column, seconds: int) -> Column:
@@ -54,13 +61,14 @@ def bucket(ts: Column, seconds: int) -> Column:
 
 def window_bounds(
     minute: Column,
-    rate: int = SAMPLING_RATE_HZ,
+    rate: Column | int | str = SAMPLING_RATE_HZ,
     width: int = WINDOW_SECONDS,
     base: str = BASE_TIME,
 ) -> dict[str, Column]:
     """First and last sample of a window, as indexes and as timestamps."""
-    start = minute.cast("long") * F.lit(width * rate)
-    end = start + F.lit(width * rate - 1)
+    rate = rate_of(rate)
+    start = minute.cast("long") * F.lit(width) * rate
+    end = start + F.lit(width) * rate - 1
     return {
         "sample_start_index": start,
         "sample_end_index": end,

@@ -133,16 +133,21 @@ def record_stats_from_windows(windows: DataFrame, channels: Sequence[str], key:
 def window_partials(
     signals: DataFrame,
     channels: Sequence[str] = CHANNELS,
-    rate: int = SAMPLING_RATE_HZ,
+    rate: int | str = SAMPLING_RATE_HZ,
     width: int = WINDOW_SECONDS,
     key: str = "recording_id",
     has_extra: str = "has_respiration",
 ) -> DataFrame:
-    """Wide window measures; windows exist only where samples exist."""
+    """Wide window measures; windows exist only where samples exist.
+
+    ``rate`` is one rate for all records or the column that holds each record's own.
+    """
+    own = [F.max(rate).alias("_rate")] if isinstance(rate, str) else []
     minute = timeline.minute_of(F.col("sample_index"), rate, width).alias("minute_index")
     return signals.groupBy(key, minute).agg(
         F.count(F.lit(1)).alias("sample_count"),
         F.max(has_extra).alias("_extra"),
+        *own,
         *channel_aggregates(channels),
     )
 
@@ -169,7 +174,7 @@ def attach_labels(windows: DataFrame, labels: DataFrame, key: str = "recording_i
 def attach_event_counts(
     windows: DataFrame,
     beats: DataFrame,
-    rate: int = SAMPLING_RATE_HZ,
+    rate: int | str = SAMPLING_RATE_HZ,
     width: int = WINDOW_SECONDS,
     key: str = "recording_id",
 ) -> DataFrame:
@@ -197,7 +202,7 @@ def window_summaries(
     labels: DataFrame,
     beats: DataFrame,
     channels: Sequence[str] = CHANNELS,
-    rate: int = SAMPLING_RATE_HZ,
+    rate: int | str = SAMPLING_RATE_HZ,
     width: int = WINDOW_SECONDS,
     base: str | None = None,
     key: str = "recording_id",
@@ -208,7 +213,8 @@ def window_summaries(
 
     One pass over the samples. Samples, labels and beats are all grouped on (record,
     minute), so joining them adds no shuffle; the joined window table, thousands of times
-    smaller than the samples, is written once and gives the record statistics.
+    smaller than the samples, is written once and gives the record statistics. ``rate`` may
+    name a column of samples and beats with the rate of each record.
     """
     parts = window_partials(signals, channels, rate, width, key, has_extra)
     parts = attach_labels(parts, labels, key, label_order)
@@ -225,7 +231,7 @@ def window_summaries(
         norm = normalised_mean(F.col(f"{c}__mean"), F.col(f"{c}__rmean"), F.col(f"{c}__rstd"))
         entries += [F.lit(c), _stats_struct(c, open_[c], norm)]
     bounds = timeline.window_bounds(
-        F.col("minute_index"), rate, width, **({"base": base} if base else {})
+        F.col("minute_index"), "_rate" if isinstance(rate, str) else rate, width, **({"base": base} if base else {})
     )
     return out.select(
         key,

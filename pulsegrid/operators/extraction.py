@@ -15,10 +15,11 @@ from pulsegrid.operators import sequence as sq
 from pulsegrid.operators import validation as va
 from pulsegrid.plans.joins import join_lookup
 from pulsegrid.schema import BASE_TIME, CHANNELS, EXTRA_CHANNELS, MAIN_CHANNEL, WINDOW_SECONDS
-from pulsegrid.session import materialise
+from pulsegrid.session import materialise, named, stored
 from pulsegrid.sources import files, readers
 
 KEY = "recording_id"
+POSITION = "file_position"
 
 
 def read_metadata_from_headers(spark: SparkSession, raw_dir: str, provenance: dict[str, str] | None = None) -> DataFrame:
@@ -30,18 +31,24 @@ def read_metadata_from_headers(spark: SparkSession, raw_dir: str, provenance: di
 
 
 def raw_streams(spark: SparkSession, raw_dir: str, metadata: DataFrame, max_samples: int | None = None) -> DataFrame:
-    """Main and extra channels of all records on one sample index, with synthetic time."""
+    """Main and extra channels of all records on one sample index, with synthetic time.
+
+    Values are in the units that the headers give for each channel; every row carries the rate
+    of its record.
+    """
     facts = metadata.select(
         F.col("record_name").alias(KEY), "sampling_rate_hz", "has_respiration"
     )
+    calibration = readers.calibrations(readers.read_headers(spark, raw_dir, "*.hea"))
     listed = files.list_files(spark, raw_dir, "*.dat")
-    main = readers.read_samples(spark, raw_dir, [MAIN_CHANNEL], "[a-zA-Z][0-9][0-9].dat", max_samples)
+    require_metadata(listed.select(F.regexp_replace(F.lower(files.stem(F.col("name"))), "r$", "").alias(KEY)), facts, "samples")
+    main = readers.read_samples(spark, raw_dir, [MAIN_CHANNEL], "[a-zA-Z][0-9][0-9].dat", max_samples, calibration)
     main = main.withColumn(KEY, F.lower(KEY))
     extra_files = listed.where(F.lower("name").rlike(r"^[a-z]\d\dr\.dat$"))
     if extra_files.isEmpty():
         joined = jn.align_channels(main, None)
     else:
-        extra = readers.read_samples(spark, raw_dir, list(EXTRA_CHANNELS), "[a-zA-Z][0-9][0-9]r.dat", max_samples)
+        extra = readers.read_samples(spark, raw_dir, list(EXTRA_CHANNELS), "[a-zA-Z][0-9][0-9]r.dat", max_samples, calibration)
         extra = extra.withColumn(KEY, F.regexp_replace(F.lower(KEY), "r$", ""))
         having = extra_files.select(F.regexp_replace(F.lower(files.stem(F.col("name"))), "r$", "").alias(KEY))
         allowed = facts.where("has_respiration").select(KEY)
@@ -60,6 +67,7 @@ def label_stream(annotations: DataFrame, metadata: DataFrame, max_samples: int |
     dropped; the time comes from the sample the label sits on.
     """
     rates = metadata.select(F.col("record_name").alias(KEY), "sampling_rate_hz")
+    require_metadata(annotations, rates, "labels")
     label = text.parse_label(F.col("aux_note"), F.col("symbol"))
     cap = None if max_samples is None else F.lit(max_samples)
     numbered = fl.cap_annotations(annotations, cap, [KEY], ["ordinal"])
@@ -72,15 +80,25 @@ def label_stream(annotations: DataFrame, metadata: DataFrame, max_samples: int |
 
 
 def beat_stream(annotations: DataFrame, metadata: DataFrame, max_samples: int | None = None) -> DataFrame:
-    """Beat rows (recording_id, sample_index, recorded_at) below the cap."""
+    """Beat rows (recording_id, sample_index, recorded_at, rate, file position if given) below the cap."""
     rates = metadata.select(F.col("record_name").alias(KEY), "sampling_rate_hz")
+    require_metadata(annotations, rates, "beats")
     kept = annotations if max_samples is None else annotations.where(F.col("sample_index") < max_samples)
     placed = join_lookup(kept, rates, [KEY], "inner", computed=True)
     return placed.select(
-        KEY, "sample_index", timeline.synth_ts(F.col("sample_index"), F.col("sampling_rate_hz")).alias("recorded_at")
+        KEY, "sample_index", timeline.synth_ts(F.col("sample_index"), F.col("sampling_rate_hz")).alias("recorded_at"),
+        "sampling_rate_hz", *[c for c in (POSITION,) if c in annotations.columns],
     )
 
 
+def require_metadata(rows: DataFrame, metadata: DataFrame, what: str) -> None:
+    """Raise if rows belong to records without a metadata row; they must not get lost in a join."""
+    lost = rows.select(KEY).distinct().join(metadata.select(KEY), KEY, "left_anti")
+    missing = named(materialise(lost), KEY)
+    if missing:
+        raise ValueError(f"{what} of records without metadata: {missing}")
+
+
 def recording_rows(metadata: DataFrame) -> DataFrame:
     """Rows of the recordings table."""
     return metadata.select(
@@ -91,18 +109,24 @@ def recording_rows(metadata: DataFrame) -> DataFrame:
 
 
 def process(
-    signals: DataFrame, labels: DataFrame, beats: DataFrame, metadata: DataFrame, rate: int, max_samples: int | None = None,
-    width: int = WINDOW_SECONDS,
+    signals: DataFrame, labels: DataFrame, beats: DataFrame, metadata: DataFrame, rate: int | str = "sampling_rate_hz",
+    max_samples: int | None = None, width: int = WINDOW_SECONDS,
 ) -> Mapping[str, DataFrame]:
-    """Windows, extraction statistics, validation report and tables of a set of records of one rate."""
-    signals = materialise(signals)
-    windows = materialise(ag.window_summaries(signals, labels, beats, CHANNELS, rate, width, BASE_TIME))
+    """Windows, extraction statistics, validation report and tables of a set of records.
+
+    ``rate`` is the column of samples, beats and metadata with each record's rate, or one rate.
+    Order is checked in file order where a stream has a column ``file_position``, else samples
+    and beats in the order of their index.
+    """
+    place = lambda df: POSITION if POSITION in df.columns else "sample_index"
+    signals = stored(signals, "signals")
+    windows = stored(ag.window_summaries(signals, labels, beats, CHANNELS, rate, width, BASE_TIME), "windows")
     facts = metadata.withColumnRenamed("record_name", KEY)
     expected = va.expected_rows(facts, None, max_samples)
     report = va.classify({
-        "signals": va.validate_signals(signals, facts, expected, "sample_index"),
+        "signals": va.validate_signals(signals, facts, expected, place(signals)),
         "apnea": va.validate_annotations(labels, facts, "has_apnea_annotations", "minute_index", "ordinal"),
-        "qrs": va.validate_annotations(beats, facts, "has_qrs_annotations", "sample_index", "sample_index"),
+        "qrs": va.validate_annotations(beats, facts, "has_qrs_annotations", "sample_index", place(beats)),
         "windows": va.validate_windows(windows, facts, expected, "minute_index", rate, width),
     })
     stats = va.extraction_stats(
@@ -115,7 +139,7 @@ def process(
         "recordings": recordings,
         "signals": signals.select(KEY, "sample_index", "recorded_at", *CHANNELS),
         "annotations_apnea": labels.select(KEY, "minute_index", "recorded_at", "label", "is_apnea"),
-        "annotations_qrs": beats,
+        "annotations_qrs": beats.select(KEY, "sample_index", "recorded_at"),
         "windows": windows,
         "stats": stats,
         "report": report,

@@ -7,10 +7,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.functions import text, timeline
+from pulsegrid.functions import text
 from pulsegrid.plans.joins import join_lookup, rows_with_keys
 from pulsegrid.plans.ordered import with_ordinal
 from pulsegrid.schema import DEVELOPMENT_RECORDS
+from pulsegrid.session import materialise, named
 
 
 def range_query(
@@ -55,9 +56,9 @@ def select_records(df: DataFrame, ids: DataFrame | None = None, key: str = "reco
     """Rows of the listed records, all when no list is given; unknown ids raise."""
     if ids is None:
         return df
-    missing = [r[0] for r in unknown_ids(ids, df, key).orderBy(key).limit(20).collect()]
+    missing = named(materialise(unknown_ids(ids, df, key)), key)
     if missing:
-        raise ValueError(f"unknown records: {', '.join(map(str, missing))}")
+        raise ValueError(f"unknown records: {missing}; unknown_ids() lists them all")
     return rows_with_keys(df, ids, [key])
 
 
@@ -133,8 +134,3 @@ def quality_rules(
     for part in parts[1:]:
         out = out.unionByName(part)
     return out.select(F.lit(table).alias("table_name"), "rule", "violations")
-
-
-def rows_before_cap(index: Column, rate: int, seconds: int) -> Column:
-    """Whether a sample lies in the first ``seconds`` of its record."""
-    return timeline.floor_div(index, rate) < seconds

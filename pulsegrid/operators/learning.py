@@ -18,7 +18,7 @@ from pulsegrid.functions import arrays as ar
 from pulsegrid.operators import metrics as me
 from pulsegrid.operators.reshape import head
 from pulsegrid.operators.tensors import sequence_features
-from pulsegrid.session import materialise
+from pulsegrid.session import materialise, stored
 
 
 def batch_predict(df: DataFrame, fn: Callable[[np.ndarray], np.ndarray], x: str = "x", out: str = "x_hat") -> DataFrame:
@@ -65,6 +65,18 @@ def pca_reconstruct(df: DataFrame, fit_rows: Column, k: int = 16, x: str = "x",
     return batch_predict(df, rebuild, x, out)
 
 
+def mean_reconstruct(df: DataFrame, fit_rows: Column, x: str = "x", out: str = "x_hat") -> DataFrame:
+    """Every window replaced by the mean of the fit rows (no component at all)."""
+    centre = df.where(fit_rows).select(F.posexplode(F.flatten(F.col(x))).alias("pos", "v")).groupBy("pos").agg(F.avg("v").alias("m"))
+    mean = np.array([r["m"] for r in centre.orderBy("pos").collect()])
+
+    def rebuild(cube: np.ndarray) -> np.ndarray:
+        n, steps, channels = cube.shape
+        return np.broadcast_to(mean.reshape(channels, steps).T, (n, steps, channels))
+
+    return batch_predict(df, rebuild, x, out)
+
+
 def feature_kmeans(
     df: DataFrame, train: Column, x: str = "x", y: str = "y", top: int = 40, trees: int = 100, seed: int = 42, keys: Sequence[str] = ("window_id", "recording_id")
 ) -> DataFrame:
@@ -127,16 +139,24 @@ def supervised_baseline(
 
 
 def dtw_distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Dynamic time warping distance of each row of ``a`` to the sequence ``b``."""
+    """Dynamic time warping distance of each row of ``a`` to the sequence ``b``.
+
+    Two rows of the table are kept, with the windows of a batch along the last axis: memory is
+    2 x (steps + 1) numbers for each window.
+    """
     n, m = a.shape[1], len(b)
-    cost = (a[:, :, None] - b[None, None, :]) ** 2
-    acc = np.full((len(a), n + 1, m + 1), np.inf)
-    acc[:, 0, 0] = 0.0
-    for i in range(1, n + 1):
-        for j in range(1, m + 1):
-            best = np.minimum(np.minimum(acc[:, i - 1, j], acc[:, i, j - 1]), acc[:, i - 1, j - 1])
-            acc[:, i, j] = cost[:, i - 1, j - 1] + best
-    return np.sqrt(acc[:, n, m])
+    steps = np.ascontiguousarray(a.T)
+    above = np.full((m + 1, len(a)), np.inf)
+    above[0] = 0.0
+    row = np.empty_like(above)
+    for i in range(n):
+        row[0] = np.inf
+        for j in range(m):
+            np.minimum(above[j + 1], above[j], out=row[j + 1])
+            np.minimum(row[j + 1], row[j], out=row[j + 1])
+            row[j + 1] += (steps[i] - b[j]) ** 2
+        above, row = row, above
+    return np.sqrt(above[m])
 
 
 def nearest_by_dtw(df: DataFrame, centres: Sequence[Sequence[float]], sequence: str = "sequence") -> DataFrame:
@@ -156,18 +176,23 @@ def nearest_by_dtw(df: DataFrame, centres: Sequence[Sequence[float]], sequence:
 
 
 def dtw_cluster(
-    df: DataFrame, train: Column, order: Sequence[str], x: str = "x", y: str = "y", fit_limit: int = 2000, rounds: int = 10,
+    df: DataFrame, train: Column, order: Sequence[str], x: str = "x", y: str = "y", fit_limit: int | None = None, rounds: int = 10,
     keys: Sequence[str] = ("window_id", "recording_id"),
 ) -> DataFrame:
-    """Two DTW clusters of channel 0: centres from the first training windows, all windows assigned.
+    """Two DTW clusters of channel 0: centres from the training windows, all windows assigned.
 
-    The fit takes the first ``fit_limit`` training windows in order, as the operator is
-    defined; centres are refined on Spark (assign, then mean per cluster and step).
+    Centres are refined on Spark (assign, then mean per cluster and step) over all training
+    windows; ``fit_limit`` takes only the first ones in order.
     """
-    rows = df.select(*keys, y, train.alias("is_train"), *[c for c in order if c not in keys], F.element_at(x, 1).alias("sequence"))
-    sample = materialise(head(rows.where("is_train"), fit_limit, list(order)))
+    rows = stored(
+        df.select(*keys, y, train.alias("is_train"), *[c for c in order if c not in keys], F.element_at(x, 1).alias("sequence")), "dtw-rows"
+    )
+    fit_rows = rows.where("is_train")
+    sample = fit_rows if fit_limit is None else stored(head(fit_rows, fit_limit, list(order)), "dtw-fit")
     centre = sample.select(F.posexplode("sequence").alias("t", "v")).groupBy("t").agg(F.avg("v").alias("m"))
     mean = [r["m"] for r in centre.orderBy("t").collect()]
+    if not mean:
+        raise ValueError("no training windows to fit clusters on")
     distant = nearest_by_dtw(sample, [mean]).orderBy(F.col("distance").desc(), *order).first()
     far = nearest_by_dtw(sample, [list(distant["sequence"])]).orderBy(F.col("distance").desc(), *order).first()
     centres = [list(distant["sequence"]), list(far["sequence"])]
@@ -191,11 +216,11 @@ def dtw_cluster(
 
 def noise_robustness(
     df: DataFrame, fit_rows: Column, reconstruct: Callable[[DataFrame], DataFrame], levels: Sequence[float] = (0.0, 0.01, 0.03, 0.1),
-    window: str = "window_id", x: str = "x", y: str = "y", percent: float = 85.0, seed: int = 42,
+    window: str = "window_id", x: str = "x", y: str = "y", percent: float = 85.0, seed: int = 42, judged: Column | None = None,
 ) -> DataFrame:
     """Metrics of the detector under noise of several levels; the threshold is that of clean input.
 
-    The level list is unrolled inside the row, so the windows are read once.
+    ``judged`` names the rows that are measured (default: all). The level list is unrolled inside the row, so the windows are read once.
     """
     clean = reconstruct(df.where(fit_rows)).select(ar.weighted_mse(F.col(x), F.col("x_hat")).alias("loss"))
     tau = me.percentile_threshold(clean, percent, "loss").first()["tau"]
@@ -207,6 +232,6 @@ def noise_robustness(
         )
         for level in levels
     ])
-    noisy = df.select(window, y, F.inline(variants)).withColumnRenamed("noisy", x)
+    noisy = (df if judged is None else df.where(judged)).select(window, y, F.inline(variants)).withColumnRenamed("noisy", x)
     scored = reconstruct(noisy).select("level", y, ar.weighted_mse(F.col(x), F.col("x_hat")).alias("loss"))
     return me.binary_metrics(me.flag_scores(scored, tau, "loss"), ["level"], y)

@@ -12,6 +12,7 @@ from pulsegrid.functions import batches
 from pulsegrid.plans.joins import join_lookup
 from pulsegrid.plans.ordered import quantiles
 from pulsegrid.schema import FEATURES
+from pulsegrid.session import stored
 
 
 def scan_windows(df: DataFrame, samples: int, array: str = "ecg", order: Sequence[str] = ("recording_id", "window_start")) -> DataFrame:
@@ -66,6 +67,8 @@ def robust_minmax_fit(
 def robust_scale(df: DataFrame, fit: DataFrame, tensor: str = "x", names: Sequence[str] = FEATURES) -> DataFrame:
     """Scale with fitted bounds; the bounds (one pair per feature) come to the driver."""
     bounds = {r["feature"]: (r["lo"], r["hi"]) for r in fit.select("feature", "lo", "hi").collect()}
+    if not bounds:
+        raise ValueError("no rows to fit the bounds on")
     pairs = [bounds.get(n, (0.0, 1.0)) for n in names]
     return df.withColumn(tensor, ar.robust_scale(F.col(tensor), [p[0] for p in pairs], [p[1] for p in pairs]))
 
@@ -73,9 +76,12 @@ def robust_scale(df: DataFrame, fit: DataFrame, tensor: str = "x", names: Sequen
 def model_input(
     windows: DataFrame, fit_rows: Column, steps: int = 100, array: str = "ecg", lower: float = 1.0, upper: float = 99.0
 ) -> DataFrame:
-    """Morphology tensor scaled with bounds fitted on the rows for which ``fit_rows`` holds."""
-    fit = robust_minmax_fit(morphology(windows.where(fit_rows), steps, array), lower=lower, upper=upper)
-    return robust_scale(morphology(windows, steps, array), fit)
+    """Morphology tensor scaled with bounds fitted on the rows for which ``fit_rows`` holds.
+
+    The bins are computed once and written; bounds and everything after read them.
+    """
+    binned = stored(morphology(windows, steps, array), "bins")
+    return robust_scale(binned, robust_minmax_fit(binned.where(fit_rows), lower=lower, upper=upper))
 
 
 def feature_profile(

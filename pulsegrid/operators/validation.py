@@ -6,9 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from pulsegrid.functions.timeline import rate_of
 from pulsegrid.operators.sequence import first_last_ts
-from pulsegrid.plans.joins import join_lookup
 from pulsegrid.plans.ordered import with_previous
 from pulsegrid.schema import EXTRA_CHANNELS, SAMPLING_RATE_HZ, WINDOW_SECONDS
 
@@ -35,24 +36,42 @@ def expected_rows(metadata: DataFrame, summary: DataFrame | None, cap: int | Non
 
 
 def validate_signals(
-    signals: DataFrame, metadata: DataFrame, expected: DataFrame, order: str, limit=None
+    signals: DataFrame, metadata: DataFrame, expected: DataFrame, order: str, block: int = 100_000
 ) -> DataFrame:
     """Gaps, time order, row count and channel presence of the samples of each record.
 
     Every gap and every time fault counts one issue; the two are reported with their
-    number so that a record with many faults stays one row.
+    number so that a record with many faults stays one row. ``order`` is an integer: the place
+    of a sample in its record. Samples are compared inside blocks of ``block`` places, blocks
+    with the one before through one summary row each, so a record of any length spreads over
+    tasks and nothing but order, index, time and one flag moves.
     """
-    seen = with_previous(
-        signals.withColumn("_any_extra", F.coalesce(*[F.col(c) for c in EXTRA_CHANNELS]).isNotNull()),
-        [KEY], [order], {"_pi": "sample_index", "_pt": "recorded_at"}, "_has", limit,
+    extra_seen = F.coalesce(*[F.col(c) for c in EXTRA_CHANNELS]).isNotNull()
+    slim = signals.select(
+        KEY, F.floor(F.col(order) / F.lit(block)).alias("_block"), F.col(order).alias("_order"), "sample_index", "recorded_at",
+        extra_seen.alias("_any_extra"),
     )
-    measured = seen.groupBy(KEY).agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.sum(F.when(F.col("_has") & (F.col("sample_index") != F.col("_pi") + 1), 1).otherwise(0)).alias("gaps"),
-        F.sum(F.when(F.col("recorded_at") <= F.col("_pt"), 1).otherwise(0)).alias("time_faults"),
+    inside = Window.partitionBy(KEY, "_block").orderBy("_order")
+    ends = F.struct("sample_index", "recorded_at")
+    gap = lambda before: F.col("sample_index") != before["sample_index"] + 1
+    late = lambda before: F.col("recorded_at") <= before["recorded_at"]
+    one = lambda c: F.when(c, 1).otherwise(0)
+    blocks = slim.withColumn("_p", F.lag(ends).over(inside)).groupBy(KEY, "_block").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(one(gap(F.col("_p")))).alias("gaps"),
+        F.sum(one(late(F.col("_p")))).alias("time_faults"),
         F.max("_any_extra").alias("extra_seen"),
-        F.min_by("recorded_at", order).alias("first_timestamp"),
-        F.max_by("recorded_at", order).alias("last_timestamp"),
+        F.min_by(ends, "_order").alias("_first"),
+        F.max_by(ends, "_order").alias("_last"),
+    )
+    blocks = blocks.withColumn("_before", F.lag("_last").over(Window.partitionBy(KEY).orderBy("_block"))).select("*", "_first.*")
+    measured = blocks.groupBy(KEY).agg(
+        F.sum("n").alias("row_count"),
+        F.sum(F.col("gaps") + one(gap(F.col("_before")))).alias("gaps"),
+        F.sum(F.col("time_faults") + one(late(F.col("_before")))).alias("time_faults"),
+        F.max("extra_seen").alias("extra_seen"),
+        F.min_by("_first.recorded_at", "_block").alias("first_timestamp"),
+        F.max_by("_last.recorded_at", "_block").alias("last_timestamp"),
     )
     facts = metadata.select(KEY, "has_respiration").join(expected, KEY, "left").join(measured, KEY, "left")
     rows = F.coalesce("row_count", F.lit(0)).cast("long")
@@ -92,7 +111,8 @@ def validate_annotations(
     ``present`` lists records whose artifact exists (default: all in ``metadata``): a
     required artifact that is absent is an issue, one without rows a warning.
     """
-    seen = with_previous(rows, [KEY], [order], {"_pt": "recorded_at", "_pi": index}, None, limit)
+    slim = rows.select(*dict.fromkeys([KEY, order, index, "recorded_at"]))
+    seen = with_previous(slim, [KEY], [order], {"_pt": "recorded_at", "_pi": index}, None, limit)
     measured = seen.groupBy(KEY).agg(
         F.count(F.lit(1)).alias("row_count"),
         F.sum(F.when(F.col("recorded_at") < F.col("_pt"), 1).otherwise(0)).alias("time_faults"),
@@ -128,9 +148,12 @@ def validate_annotations(
 
 def validate_windows(
     windows: DataFrame, metadata: DataFrame, expected: DataFrame, order: str = "minute_index",
-    rate: int = SAMPLING_RATE_HZ, width: int = WINDOW_SECONDS, limit=None,
+    rate: int | str = SAMPLING_RATE_HZ, width: int = WINDOW_SECONDS, limit=None,
 ) -> DataFrame:
-    """Minute order, row count, label and channel rules of the window table."""
+    """Minute order, row count, label and channel rules of the window table.
+
+    ``rate`` is one rate or the column of ``metadata`` that holds each record's own.
+    """
     open_extra = F.lit(False)
     for c in EXTRA_CHANNELS:
         open_extra = open_extra | F.coalesce(F.col("modalities")[c]["available"], F.lit(False))
@@ -146,14 +169,14 @@ def validate_windows(
         F.max("_open").alias("open_extra"),
     )
     facts = (
-        metadata.select(KEY, "has_respiration", "has_apnea_annotations").join(expected, KEY, "left")
+        metadata.select(KEY, "has_respiration", "has_apnea_annotations", rate_of(rate).alias("_rate")).join(expected, KEY, "left")
         .join(measured, KEY, "left")
     )
     number = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long")
     count, labelled = number("row_count"), number("labeled_windows")
     missing = F.col("row_count").isNull()
     opened = F.coalesce("open_extra", F.lit(False))
-    want = F.ceil(F.col("expected_row_count") / F.lit(rate * width)).cast("long")
+    want = F.ceil(F.col("expected_row_count") / (F.col("_rate") * F.lit(width))).cast("long")
     mismatch = F.concat(
         F.lit("window row count mismatch: expected "), want.cast("string"), F.lit(", found "), count.cast("string")
     )
@@ -272,7 +295,3 @@ def transformation_totals(stats: DataFrame, columns: Sequence[str] = TOTALS) ->
         F.count(F.lit(1)).alias("record_count"),
         *[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in columns],
     )
-
-
-def with_metadata(records: DataFrame, metadata: DataFrame) -> DataFrame:
-    return join_lookup(records, metadata, [KEY])

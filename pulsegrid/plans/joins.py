@@ -3,22 +3,29 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.session import broadcast_row_limit, group_row_limit, materialise
+from pulsegrid.session import broadcast_byte_limit, broadcast_row_limit, group_row_limit, materialise
+
+
+def _is_small(df: DataFrame, limit: int | None) -> bool:
+    """At most ``limit`` rows, and few enough bytes; both are measured on what a limit lets through."""
+    spark = df.sparkSession
+    limit = broadcast_row_limit(spark) if limit is None else limit
+    width = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    seen = df.limit(limit + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return seen[0] <= limit and seen[1] <= broadcast_byte_limit(spark)
 
 
 def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
-    """Mark ``df`` for broadcast only after counting that it is small.
+    """Mark ``df`` for broadcast only after measuring that it is small.
 
-    Beyond the limit the join is left to Catalyst and AQE (shuffle, skew splitting).
+    Beyond the limits the join is left to Catalyst and AQE (shuffle, skew splitting).
     """
-    limit = broadcast_row_limit(df.sparkSession) if limit is None else limit
-    if df.limit(limit + 1).count() <= limit:
-        return F.broadcast(df)
-    return df
+    return F.broadcast(df) if _is_small(df, limit) else df
 
 
 def join_lookup(
@@ -32,12 +39,11 @@ def join_lookup(
     """Join rows to a one-row-per-key lookup: broadcast when small, salted when hot.
 
     ``computed`` says that the lookup is itself a result over large input: it is written
-    once, so that counting it does not run that input a second time.
+    once, so that measuring it does not run that input a second time.
     """
-    small = broadcast_row_limit(facts.sparkSession) if limit is None else limit
     if computed:
         lookup = materialise(lookup)
-    if lookup.limit(small + 1).count() <= small:
+    if _is_small(lookup, limit):
         return facts.join(F.broadcast(lookup), list(keys), how)
     return salted_join(facts, lookup, keys, how)
 
@@ -61,18 +67,21 @@ def salted_join(
 ) -> DataFrame:
     """Shuffle join in which rows of hot keys on the ``facts`` side are spread.
 
-    Rows of ``facts`` under a hot key draw a salt from their content, the few matching
-    rows of ``other`` are repeated once per salt. ``how`` may be inner, left, left_semi or
-    left_anti.
+    Rows of ``facts`` under a hot key draw a salt from their place in their partition, so equal
+    rows and rows of any column type spread alike; the few matching rows of ``other`` are
+    repeated once per salt, so every salt finds them. A row with a NULL key has no match and
+    takes a salt of its own, whatever the number of such rows. ``how`` may be inner, left,
+    left_semi or left_anti.
     """
     keys = list(keys)
-    hot = broadcast_if_small(materialise(hot_keys(facts, keys, limit)))
-    spread = facts.join(hot, keys, "left")
-    pick = F.pmod(F.xxhash64(*[facts[c] for c in facts.columns]), F.coalesce(F.col("_salts"), F.lit(1)))
-    spread = spread.withColumn("_salt", pick.cast("int")).drop("_salts")
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    hot = broadcast_if_small(materialise(hot_keys(facts.where(known), keys, limit)))
+    place = F.monotonically_increasing_id()
+    salt = F.when(known, F.pmod(place, F.coalesce(F.col("_salts"), F.lit(1)).cast("long"))).otherwise(place)
+    spread = facts.join(hot, keys, "left").withColumn("_salt", salt).drop("_salts")
     repeated = (
-        other.join(hot, keys, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)))
+        other.where(known).join(hot, keys, "left")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("_salts"), F.lit(1)).cast("long") - 1)))
         .drop("_salts")
     )
     return spread.join(repeated, [*keys, "_salt"], how).drop("_salt")

@@ -84,7 +84,10 @@ class Layout:
         )
 
     def running(self, sums: Mapping[str, str], totals: Mapping[str, str] | None = None) -> DataFrame:
-        """Add inclusive running sums and, on request, group totals: {new column: column}."""
+        """Add inclusive running sums and, on request, group totals: {new column: column}.
+
+        As in SQL a sum is NULL until the first value that is not.
+        """
         totals = dict(totals or {})
         inside = self._rows().rowsBetween(Window.unboundedPreceding, Window.currentRow)
         if not self.split:
@@ -98,11 +101,12 @@ class Layout:
         keys, summary = self._with_summary({f"_s_{n}": F.sum(n) for n in names})
         ahead = self._whole().orderBy(PIECE).rowsBetween(Window.unboundedPreceding, -1)
         for n in names:
-            summary = summary.withColumn(f"_b_{n}", F.coalesce(F.sum(f"_s_{n}").over(ahead), F.lit(0)))
+            summary = summary.withColumn(f"_b_{n}", F.sum(f"_s_{n}").over(ahead))
             summary = summary.withColumn(f"_t_{n}", F.sum(f"_s_{n}").over(self._whole()))
         df = null_safe_join(self.df, summary, keys)
         for out, name in sums.items():
-            df = df.withColumn(out, F.coalesce(F.sum(name).over(inside), F.lit(0)) + F.col(f"_b_{name}"))
+            here, base = F.sum(name).over(inside), F.col(f"_b_{name}")
+            df = df.withColumn(out, F.coalesce(here + base, here, base))
         for out, name in totals.items():
             df = df.withColumn(out, F.col(f"_t_{name}"))
         return self._done(df, *[f"_{k}_{n}" for k in "sbt" for n in names])

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_GROUP_ROWS = 2_000_000
 DEFAULT_BROADCAST_ROWS = 500_000
+DEFAULT_BROADCAST_BYTES = 64 << 20
 
 
 def build_session(app: str = "pulsegrid", master: str | None = None, **conf: str) -> SparkSession:
@@ -32,8 +33,8 @@ def build_session(app: str = "pulsegrid", master: str | None = None, **conf: str
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only where neither the session nor the context names one (local tests) is a
-    temporary folder set.
+    Only a local master, whose one process sees its own disk, gets a temporary folder where
+    neither the session nor the context names one; on a cluster that is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
@@ -45,6 +46,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return configured
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     folder = tempfile.mkdtemp(prefix="pulsegrid-")
     spark.sparkContext.setCheckpointDir(folder)
     return folder
@@ -61,6 +64,16 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str = "rows") -> DataFrame:
+    """Write large rows once as Parquet in the shared folder and read them back.
+
+    Like ``materialise``, but later passes prune columns and push filters down.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def group_row_limit(spark: SparkSession) -> int:
     """Most rows of one group that a single task may sort."""
     return int(spark.conf.get("spark.pulsegrid.maxGroupRows", str(DEFAULT_GROUP_ROWS)))
@@ -69,3 +82,17 @@ def group_row_limit(spark: SparkSession) -> int:
 def broadcast_row_limit(spark: SparkSession) -> int:
     """Most rows a side may have to be broadcast."""
     return int(spark.conf.get("spark.pulsegrid.maxBroadcastRows", str(DEFAULT_BROADCAST_ROWS)))
+
+
+def broadcast_byte_limit(spark: SparkSession) -> int:
+    """Most bytes a side may have to be broadcast."""
+    return int(spark.conf.get("spark.pulsegrid.maxBroadcastBytes", str(DEFAULT_BROADCAST_BYTES)))
+
+
+def named(rows: DataFrame, column: str, most: int = 20) -> str:
+    """For messages: the first values of a column in order and how many there are in all ("" for none)."""
+    total = rows.count()
+    if not total:
+        return ""
+    first = [str(r[0]) for r in rows.select(column).orderBy(column).limit(most).collect()]
+    return ", ".join(first) + (f" and {total - most} more ({total} in all)" if total > most else "")

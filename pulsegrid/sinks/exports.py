@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from pulsegrid.functions.timeline import iso
 from pulsegrid.operators.tensors import fingerprint
-from pulsegrid.sinks.tables import exists
+from pulsegrid.sinks.tables import exists, qualified
 
 KEY = "recording_id"
 
@@ -49,26 +49,29 @@ def write_csv_tables(frames: Mapping[str, DataFrame], root: str, mode: str = "ov
 def write_samples(df: DataFrame, column: str, root: str, units: float = 200.0) -> DataFrame:
     """Write a numeric column as 16-bit little-endian files, one per task; returns (file, samples).
 
-    A retried task writes the same file name again, so nothing is doubled.
+    Every attempt of a task writes a file of its own and moves it to the task's name when it
+    is complete, so a retried or speculative attempt neither doubles nor cuts anything.
     """
     import numpy as np
 
-    target = root
+    target = qualified(df.sparkSession, root)
 
     def save(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
         from pyspark import TaskContext
 
-        task = TaskContext.get().partitionId()
-        system, inner = fs.FileSystem.from_uri(target if "://" in target else f"file://{target}")
+        task, attempt = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId()
+        system, inner = fs.FileSystem.from_uri(target)
         system.create_dir(inner, recursive=True)
         count = 0
         name = f"{inner}/part{task:05d}.dat"
-        with system.open_output_stream(name) as stream:
+        unfinished = f"{inner}/_attempt{attempt}.tmp"
+        with system.open_output_stream(unfinished) as stream:
             for batch in batches:
                 raw = np.rint(batch[column].to_numpy() * units).astype("<i2")
                 stream.write(raw.tobytes())
                 count += len(raw)
+        system.move(unfinished, name)
         yield pd.DataFrame({"file": [name], "samples": [count]})
 
     return df.select(column).mapInPandas(save, "file string, samples long")

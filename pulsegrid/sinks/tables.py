@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from typing import Any
 
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +34,7 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
     """The table, or None when nothing was written yet or all its files are gone."""
+    finish_swap(spark, path)
     if not exists(spark, path):
         return None
     reader = spark.read.schema(schema) if schema is not None else spark.read
@@ -75,11 +77,14 @@ def write_table(
 
 
 def first_per_key(rows: DataFrame, key: str, order: str | None) -> DataFrame:
-    """One row per key: the first by ``order``, any when no order is given."""
-    if order is None:
-        return rows.dropDuplicates([key])
+    """One row per key: the first by ``order``, ties and rows without an order by their content."""
     rest = [c for c in rows.columns if c != key]
-    best = rows.groupBy(key).agg(F.min_by(F.struct(*rest), order).alias("_first"))
+    if not rest:
+        return rows.distinct()
+    whole = F.struct(*rest)
+    best = rows.groupBy(key).agg(
+        F.min(whole).alias("_first") if order is None else F.min_by(whole, F.struct(F.col(order), *rest)).alias("_first")
+    )
     return best.select(key, "_first.*").select(*rows.columns)
 
 
@@ -105,21 +110,60 @@ def delete_orphans(subjects: DataFrame, recordings: DataFrame, ids: DataFrame, k
     return rows_with_keys(subjects, lost, [key], keep=False)
 
 
-def drop_partitions(spark: SparkSession, path: str, values: Sequence[str], column: str = KEY) -> None:
-    """Delete the partition folders of the given values (a list of ids given by the caller)."""
-    for value in values:
-        fs, where = _fs(spark, f"{path}/{column}={value}")
-        if fs.exists(where):
-            fs.delete(where, True)
+#: Characters that Spark escapes in the name of a partition folder, besides control characters.
+_ESCAPED = frozenset('"#%\'*/:=?\\{[]^\x7f')
+
+
+def partition_folder(column: str, value: str | None) -> str:
+    """Name of the folder of a partition value, as Spark writes it."""
+    if value is None or value == "":
+        return f"{column}=__HIVE_DEFAULT_PARTITION__"
+    return f"{column}=" + "".join(f"%{ord(c):02X}" if c in _ESCAPED or "\x01" <= c <= "\x1f" else c for c in value)
+
+
+def drop_partitions(spark: SparkSession, path: str, values: Sequence[str] | DataFrame, column: str = KEY) -> None:
+    """Delete the partition folders of the given values, a list or a table with the column.
+
+    The folders are deleted by tasks; a folder that is gone already does no harm.
+    """
+    if not exists(spark, path):
+        return
+    if not isinstance(values, DataFrame):
+        values = spark.createDataFrame([(v,) for v in values], f"{column} string")
+    root = qualified(spark, path)
+
+    def drop(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        system, inner = fs.FileSystem.from_uri(root)
+        for batch in batches:
+            for value in batch[column]:
+                where = f"{inner}/{partition_folder(column, value)}"
+                if system.get_file_info(where).type == fs.FileType.Directory:
+                    system.delete_dir(where)
+            yield batch
+
+    values.select(F.col(column).cast("string")).distinct().mapInPandas(drop, f"{column} string").count()
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system, as Arrow reads it: executors must not guess it."""
+    fs, where = _fs(spark, path)
+    full = where.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toString()
+    return "file://" + full[len("file:") :] if full.startswith("file:/") and not full.startswith("file://") else full
 
 
 def replace_records(spark: SparkSession, path: str, rows: DataFrame, ids: Sequence[str] = (), sort: Sequence[str] = (KEY, "recorded_at")) -> int:
     """Replace whole records on disk by dynamic partition overwrite.
 
-    Running it twice leaves the same table. Ids without new rows are deleted.
+    Running it twice leaves the same table. Ids without new rows are deleted, after the new
+    rows were committed: an interruption leaves old rows, never a gap.
     """
-    drop_partitions(spark, path, ids)
-    return write_table(rows, path, sort, (KEY,), "overwrite")
+    count = write_table(rows, path, sort, (KEY,), "overwrite")
+    if ids:
+        wanted = spark.createDataFrame([(i,) for i in ids], f"{KEY} string")
+        drop_partitions(spark, path, wanted.join(rows.select(KEY).distinct(), KEY, "left_anti"))
+    return count
 
 
 def cleanup_records(spark: SparkSession, root: str, ids: Sequence[str]) -> None:
@@ -138,13 +182,31 @@ def cleanup_records(spark: SparkSession, root: str, ids: Sequence[str]) -> None:
 
 
 def rewrite(spark: SparkSession, df: DataFrame, path: str) -> None:
-    """Replace a small table that the rows are read from: write beside it, then swap."""
-    beside = f"{path}.next"
-    df.write.mode("overwrite").parquet(beside)
+    """Replace a small table that the rows are read from: write beside it, then swap.
+
+    The former table stays until the new one is in its place; ``finish_swap`` completes a swap
+    that was interrupted.
+    """
+    finish_swap(spark, path)
+    df.write.mode("overwrite").parquet(f"{path}.next")
+    fs, target = _fs(spark, path)
+    if fs.exists(target):
+        fs.rename(target, _fs(spark, f"{path}.old")[1])
+    finish_swap(spark, path)
+
+
+def finish_swap(spark: SparkSession, path: str) -> None:
+    """Put a new table in its place if the former one was moved away, then drop the former one."""
     fs, target = _fs(spark, path)
-    _, source = _fs(spark, beside)
-    fs.delete(target, True)
-    fs.rename(source, target)
+    _, fresh = _fs(spark, f"{path}.next")
+    _, old = _fs(spark, f"{path}.old")
+    if not fs.exists(target):
+        if fs.exists(_fs(spark, f"{path}.next/_SUCCESS")[1]):
+            fs.rename(fresh, target)
+        elif fs.exists(old):
+            fs.rename(old, target)
+    if fs.exists(target) and fs.exists(old):
+        fs.delete(old, True)
 
 
 def load_tables(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.functions import text
+from pulsegrid.session import materialise, named
 
 # Base header names, and the suffixes under which annotations are looked up.
 BASE_HEADER = r"(?i)^[abcx]\d{2}\.hea$"
@@ -99,9 +100,9 @@ def resolve_base(candidates: DataFrame, files: DataFrame, ext: str, required: bo
     best = hits.groupBy("record_name").agg(F.min_by("base", "_rank").alias("base"))
     if required:
         missing = candidates.select("record_name").distinct().join(best, "record_name", "left_anti")
-        lost = [r[0] for r in missing.orderBy("record_name").limit(20).collect()]
+        lost = named(materialise(missing), "record_name")
         if lost:
-            raise FileNotFoundError(f"no .{ext} file for: {', '.join(lost)}")
+            raise FileNotFoundError(f"no .{ext} file for: {lost}; the result without ``required`` lacks them all")
     return best
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulsegrid.schema import METADATA_ENTRY
+from pulsegrid.session import materialise, named
 from pulsegrid.sources.files import list_files, stem
 
 UNITS_PER_MILLIVOLT = 200.0  # fixed value of the sample format
@@ -21,11 +22,14 @@ def _blank_or_comment(line: Column) -> Column:
 
 
 def parse_headers(texts: DataFrame, path: str = "path", value: str = "value") -> DataFrame:
-    """Record name, rate, sample count and channel names of header texts, one text per row.
+    """Record name, rate, sample count, channel names and channels of header texts, one per row.
 
     The whole parse is array expressions inside the row. A channel line starts with a
     ``.dat`` file name; its description is everything from the ninth token on, else the
     last token. The first other line with a number in its place gives rate and length.
+    ``channels`` holds file, format, gain and zero of each channel line: the third token is
+    ``gain(baseline)/units``; without a baseline the fifth token (the zero of the converter)
+    counts, without a gain (or with zero) 200 units a millivolt.
     """
     trimmed = F.transform(F.split(F.col(value), "\r\n|\n|\r"), lambda x: F.btrim(x, F.lit(" \t\r\n\f")))
     lines = F.filter(trimmed, lambda x: ~_blank_or_comment(x))
@@ -36,8 +40,22 @@ def parse_headers(texts: DataFrame, path: str = "path", value: str = "value") ->
         .when(F.size(t) >= 2, F.element_at(t, -1)).otherwise(F.lit("Unknown"))
     )
     split = texts.select(F.col(path).alias("path"), tokens.alias("tokens"))
+
+    def calibration(t: Column) -> Column:
+        scale = F.coalesce(F.get(t, F.lit(2)), F.lit(""))
+        gain = F.nullif(F.regexp_extract(scale, r"^([+-]?[0-9.]+(?:[eE][+-]?[0-9]+)?)", 1), F.lit("")).try_cast("double")
+        base = F.nullif(F.regexp_extract(scale, r"\(([+-]?\d+)\)", 1), F.lit("")).try_cast("double")
+        zero = F.get(t, F.lit(4)).try_cast("double")
+        return F.struct(
+            F.element_at(t, 1).alias("file"),
+            F.coalesce(F.get(t, F.lit(1)), F.lit("16")).alias("format"),
+            F.coalesce(F.nullif(gain, F.lit(0.0)), F.lit(UNITS_PER_MILLIVOLT)).alias("gain"),
+            F.coalesce(base, zero, F.lit(0.0)).alias("zero"),
+        )
+
     parted = split.select(
         "path",
+        F.transform(F.filter("tokens", channel), calibration).alias("channels"),
         F.transform(F.filter("tokens", channel), described).alias("signals"),
         F.filter("tokens", lambda t: ~channel(t)).alias("_record"),
     )
@@ -63,7 +81,21 @@ def parse_headers(texts: DataFrame, path: str = "path", value: str = "value") ->
         F.get(rate, F.lit(2)).cast("double").cast("int").alias("sampling_rate_hz"),
         F.get(length, F.lit(3)).cast("long").alias("num_samples"),
         "signals",
+        "channels",
+    )
+
+
+def calibrations(headers: DataFrame) -> DataFrame:
+    """One row per sample file that headers name: name, formats, gains, zeros in channel order.
+
+    A file that several headers describe takes the description with the most channels.
+    """
+    each = headers.select("path", F.posexplode("channels").alias("_at", "c")).select("path", "_at", "c.*")
+    files = each.groupBy("path", F.col("file").alias("name")).agg(
+        F.array_sort(F.collect_list(F.struct("_at", "format", "gain", "zero"))).alias("c")
     )
+    best = files.groupBy("name").agg(F.max_by("c", F.struct(F.size("c"), "path")).alias("c"))
+    return best.select("name", F.col("c.format").alias("formats"), F.col("c.gain").alias("gains"), F.col("c.zero").alias("zeros"))
 
 
 def read_headers(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
@@ -85,54 +117,81 @@ def _open(path: str):
     return system.open_input_file(inner)
 
 
+def _sample_files(spark: SparkSession, path: str, channels: int, glob: str | None, calibration: DataFrame | None) -> DataFrame:
+    """path, recording_id, frames, gains, zeros of sample files; raises on what cannot be read whole."""
+    width = channels * SAMPLE_BYTES
+    files = list_files(spark, path, glob).withColumn("recording_id", stem(F.col("name")))
+    if calibration is None:
+        same = lambda v: F.array(*[F.lit(v)] * channels)
+        files = files.withColumns({"formats": same("16"), "gains": same(UNITS_PER_MILLIVOLT), "zeros": same(0.0)})
+    else:
+        files = files.join(calibration, "name", "left")
+    files = materialise(files.select("path", "name", "recording_id", "length", "formats", "gains", "zeros"))
+    faults = {
+        "are not described by a header": F.col("formats").isNull(),
+        f"do not have {channels} channels": F.size("formats") != channels,
+        "are not in format 16": F.exists("formats", lambda f: f != "16"),
+        f"end with a part of a frame of {width} bytes": F.col("length") % width != 0,
+    }
+    for what, wrong in faults.items():
+        lost = named(files.where(wrong), "name")
+        if lost:
+            raise ValueError(f"sample files that {what}: {lost}")
+    return files.select("path", "recording_id", F.floor(F.col("length") / width).cast("long").alias("_frames"), "gains", "zeros")
+
+
 def read_samples(
     spark: SparkSession,
     path: str,
     channels: Sequence[str] = ("ecg_value",),
     glob: str | None = "*.dat",
     max_samples: int | None = None,
-    frames_per_task: int = 4_000_000,
-    units: float = UNITS_PER_MILLIVOLT,
+    calibration: DataFrame | None = None,
+    range_bytes: int = 128 << 20,
 ) -> DataFrame:
     """Interleaved 16-bit little-endian samples as rows (recording_id, sample_index, channels).
 
-    Files are cut into byte ranges and the ranges are spread over the tasks, so a file of
-    any size is read in parallel and no file is held whole.
+    A value is (number - zero) / gain of its channel, as ``calibration`` (see ``calibrations``)
+    says for its file; without it, 200 units from zero for every channel. Files that are not
+    described, have other channels or another format, or end inside a frame raise.
+
+    Files are cut into byte ranges that are spread over the tasks, so a file of any size is
+    read in parallel and no file is held whole. A task takes several ranges if there are more
+    than a few for each core.
     """
     import numpy as np
 
-    width = len(channels) * SAMPLE_BYTES
     names = list(channels)
-    files = list_files(spark, path, glob).select(
-        "path", stem(F.col("name")).alias("recording_id"), F.floor(F.col("length") / width).cast("long").alias("_frames")
-    )
+    width = len(names) * SAMPLE_BYTES
+    step = max(1, range_bytes // width)
+    files = _sample_files(spark, path, len(names), glob, calibration)
     if max_samples is not None:
         files = files.withColumn("_frames", F.least("_frames", F.lit(max_samples).cast("long")))
     ranges = files.where("_frames > 0").select(
-        "path", "recording_id",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("_frames") - 1, F.lit(frames_per_task).cast("long"))).alias("first"),
+        "path", "recording_id", "gains", "zeros",
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("_frames") - 1, F.lit(step).cast("long"))).alias("first"),
         "_frames",
     )
-    ranges = ranges.withColumn("n", F.least(F.lit(frames_per_task).cast("long"), F.col("_frames") - F.col("first"))).drop("_frames")
+    ranges = ranges.withColumn("n", F.least(F.lit(step).cast("long"), F.col("_frames") - F.col("first"))).drop("_frames")
     # an explicit number, because AQE would merge these few bytes of work orders into one task
-    tasks = files.agg(F.sum(F.ceil(F.greatest("_frames", F.lit(0)) / frames_per_task))).first()[0] or 1
-    ranges = ranges.repartition(max(1, int(tasks)))
-    step = 200_000
+    total = files.agg(F.sum(F.ceil(F.greatest("_frames", F.lit(0)) / step))).first()[0] or 1
+    ranges = ranges.repartition(max(1, min(int(total), 16 * spark.sparkContext.defaultParallelism)))
+    at_once = 200_000
 
     def load(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples(index=False):
                 with _open(row.path) as stream:
                     stream.seek(row.first * width)
-                    for start in range(0, row.n, step):
-                        count = min(step, row.n - start)
+                    for start in range(0, row.n, at_once):
+                        count = min(at_once, row.n - start)
                         raw = np.frombuffer(stream.read(count * width), dtype="<i2").reshape(count, len(names))
                         first = row.first + start
                         yield pd.DataFrame(
                             {
                                 "recording_id": row.recording_id,
                                 "sample_index": np.arange(first, first + count, dtype="int64"),
-                                **{n: raw[:, i] / units for i, n in enumerate(names)},
+                                **{n: (raw[:, i] - row.zeros[i]) / row.gains[i] for i, n in enumerate(names)},
                             }
                         )
 
@@ -143,12 +202,18 @@ def read_samples(
     return ranges.mapInPandas(load, schema)
 
 
-def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, recursive: bool = False) -> DataFrame:
-    """One object per line, blank lines skipped, a broken line fails the read."""
+def read_jsonl(
+    spark: SparkSession, path: str, schema: T.StructType, recursive: bool = False, position: str | None = None
+) -> DataFrame:
+    """One object per line, blank lines skipped, a broken line fails the read.
+
+    ``position`` names a column for the place of the line: it grows along each file.
+    """
     reader = spark.read.schema(schema).option("mode", "FAILFAST")
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
-    return reader.json(path)
+    rows = reader.json(path)
+    return rows.withColumn(position, F.monotonically_increasing_id()) if position else rows
 
 
 def read_json_array(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

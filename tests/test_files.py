@@ -78,7 +78,7 @@ def test_resolve_base(spark, raw):
 
 def test_samples_in_ranges(spark, raw):
     whole = np.frombuffer(open(f"{raw}/a01r.dat", "rb").read(), dtype="<i2").reshape(-1, 4) / 200
-    df = readers.read_samples(spark, raw, schema.EXTRA_CHANNELS, "a01r.dat", frames_per_task=100)
+    df = readers.read_samples(spark, raw, schema.EXTRA_CHANNELS, "a01r.dat", range_bytes=800)
     assert df.rdd.getNumPartitions() > 1
     out = df.orderBy("sample_index").collect()
     assert [r["sample_index"] for r in out] == list(range(1210))
@@ -86,6 +86,83 @@ def test_samples_in_ranges(spark, raw):
     assert readers.read_samples(spark, raw, ["v"], "a01.dat", max_samples=33).count() == 33
 
 
+def test_channels_have_their_own_units(spark, tmp_path):
+    raw = np.array([[100, -50], [0, 7], [-32768, 32767]], dtype="<i2")
+    (tmp_path / "b01r.dat").write_bytes(raw.tobytes())
+    (tmp_path / "b01r.hea").write_text("b01r 2 100 3\nb01r.dat 16 20(5)/mmHg 16 9 0 0 0 Resp C\nb01r.dat 16 0.5 16 -3 0 0 0 SpO2\n")
+    calibration = readers.calibrations(readers.read_headers(spark, str(tmp_path), "*.hea"))
+    assert [tuple(r) for r in calibration.collect()] == [("b01r.dat", ["16", "16"], [20.0, 0.5], [5.0, -3.0])]
+    read = lambda: readers.read_samples(spark, str(tmp_path), ["x", "y"], "*.dat", calibration=calibration)
+    got = [(r["x"], r["y"]) for r in read().orderBy("sample_index").collect()]
+    assert got == [tuple(v) for v in ((raw - [5, -3]) / [20, 0.5]).tolist()]
+    with pytest.raises(ValueError, match="1 channels: b01r.dat"):
+        readers.read_samples(spark, str(tmp_path), ["x"], "*.dat", calibration=calibration)
+    (tmp_path / "b02r.dat").write_bytes(b"\0" * 4)
+    with pytest.raises(ValueError, match="not described by a header: b02r.dat"):
+        read()
+    (tmp_path / "b02r.hea").write_text("b02r 2 100 1\nb02r.dat 212 20\nb02r.dat 16 20\n")
+    again = readers.calibrations(readers.read_headers(spark, str(tmp_path), "*.hea"))
+    with pytest.raises(ValueError, match="not in format 16: b02r.dat"):
+        readers.read_samples(spark, str(tmp_path), ["x", "y"], "*.dat", calibration=again)
+    (tmp_path / "b03.dat").write_bytes(b"\0" * 7)
+    with pytest.raises(ValueError, match="part of a frame of 2 bytes: b03.dat"):
+        readers.read_samples(spark, str(tmp_path), ["x"], "b03.dat")
+
+
+def test_records_without_metadata_are_reported(spark, raw):
+    meta = ex.read_metadata_from_headers(spark, raw)
+    notes = spark.createDataFrame([("a01", 0, 1, "A", ""), *[(f"z{i:02d}", 0, 1, "A", "") for i in range(25)]],
+                                  "recording_id string, ordinal int, sample_index long, aux_note string, symbol string")
+    with pytest.raises(ValueError, match=r"labels of records without metadata: z00, .* and 5 more \(25 in all\)"):
+        ex.label_stream(notes, meta)
+    with pytest.raises(ValueError, match="beats of records"):
+        ex.beat_stream(notes.select("recording_id", "sample_index"), meta)
+    with pytest.raises(ValueError, match="samples of records without metadata: a01"):
+        ex.raw_streams(spark, raw, meta.where("record_name <> 'a01'"))
+
+
+def test_records_of_two_rates(spark):
+    """Windows, bounds and expectations follow the rate of each record."""
+    n = {"a01": (10, 1500), "b01": (5, 700)}
+    rows = [(r, i, rate, float(i)) for r, (rate, k) in n.items() for i in range(k)]
+    signals = spark.createDataFrame(rows, "recording_id string, sample_index long, sampling_rate_hz int, ecg_value double")
+    none = {c: F.lit(None).cast("double") for c in schema.EXTRA_CHANNELS} | {f"{c}_replaced": F.lit(False) for c in schema.CHANNELS}
+    signals = signals.withColumns({**none, "has_respiration": F.lit(False), "recorded_at": ex.timeline.synth_ts(F.col("sample_index"), F.col("sampling_rate_hz"))})
+    labels = spark.createDataFrame([], "recording_id string, minute_index int, ordinal int, recorded_at timestamp_ntz, label string, is_apnea boolean")
+    beats = signals.where("sample_index % 7 = 0").select("recording_id", "sample_index", "recorded_at", "sampling_rate_hz", (-F.col("sample_index")).alias("file_position"))
+    meta = spark.createDataFrame([(r, "s", "learning", "a", False, False, True, r, rate, k, k // rate) for r, (rate, k) in n.items()],
+                                 "record_name string, subject_id string, split string, category string, has_respiration boolean, has_apnea_annotations boolean, "
+                                 "has_qrs_annotations boolean, source_record_name string, sampling_rate_hz int, num_samples long, length_seconds int")
+    out = ex.process(signals, labels, beats, meta)
+    windows = sorted((r["recording_id"], r["minute_index"], r["sample_count"], r["sample_end_index"], r["qrs_count"]) for r in out["windows"].collect())
+    assert windows == [("a01", 0, 600, 599, 86), ("a01", 1, 600, 1199, 86), ("a01", 2, 300, 1799, 43), ("b01", 0, 300, 299, 43), ("b01", 1, 300, 599, 43), ("b01", 2, 100, 899, 14)]
+    report = {r["recording_id"]: r for r in out["report"].collect()}
+    assert all(r["windows"]["issues"] == [] and r["signals"]["issues"] == [] for r in report.values())
+    # beats lie in the file in falling order, which only their file position can show
+    assert report["a01"]["qrs"]["issues"] == ["non-monotonic timestamps: 214", "non-monotonic sample_index: 214"]
+
+
+def test_partition_folders_as_spark_names_them(spark, tmp_path):
+    values = ["a:b", "x/y", "50%", "plain", "q=1", "[z]", "tab\t", "ü", "a b"]
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(v, 1) for v in values], "recording_id string, n int").write.partitionBy("recording_id").parquet(path)
+    assert {p.name for p in (tmp_path / "t").iterdir() if p.is_dir()} == {tables.partition_folder("recording_id", v) for v in values}
+    tables.drop_partitions(spark, path, ["a:b", "x/y", "tab\t", "gone"])
+    left = {r[0] for r in spark.read.parquet(path).select("recording_id").collect()}
+    assert left == set(values) - {"a:b", "x/y", "tab\t"}
+
+
+def test_interrupted_rewrite_loses_nothing(spark, tmp_path):
+    path = str(tmp_path / "small")
+    spark.range(3).write.parquet(path)
+    tables.rewrite(spark, spark.range(5), path)
+    assert tables.read_table(spark, path).count() == 5
+    spark.range(7).write.parquet(f"{path}.next")
+    (tmp_path / "small").rename(tmp_path / "small.old")  # stopped between the two renames
+    assert tables.read_table(spark, path).count() == 7
+    assert not (tmp_path / "small.old").exists()
+
+
 def test_preview_text(spark, raw):
     got = readers.preview_text(spark, raw, 2, "notes.txt").orderBy("line_number").collect()
     assert [r["line"] for r in got] == ["one", "two"]
@@ -120,13 +197,13 @@ def extracted(spark, raw):
     meta = ex.read_metadata_from_headers(spark, raw)
     signals = ex.raw_streams(spark, raw, meta)
     notes = spark.createDataFrame(
-        [("a01", 0, 0, " A ", "N"), ("a01", 1, 610, "", "N"), ("c05", 0, 10, None, "N"), ("zz", 0, 1, "A", "")],
+        [("a01", 0, 0, " A ", "N"), ("a01", 1, 610, "", "N"), ("c05", 0, 10, None, "N")],
         "recording_id string, ordinal int, sample_index long, aux_note string, symbol string",
     )
     beats = spark.createDataFrame([("a01", i * 8) for i in range(100)] + [("c05", 3)], "recording_id string, sample_index long")
     labels = ex.label_stream(notes, meta)
     beat_rows = ex.beat_stream(beats, meta)
-    return ex.process(signals, labels, beat_rows, meta, RATE), meta
+    return ex.process(signals, labels, beat_rows, meta), meta
 
 
 def test_extraction(extracted):

@@ -142,3 +142,48 @@ def test_flagged_segments(spark, limit):
     df = spark.createDataFrame(rows_, "recording_id string, minute_index long, y_pred int, score double")
     got = sorted(tuple(r) for r in sq.flagged_segments(df, limit=limit).collect())
     assert got == [("a", 1, 2, 2, 2.0), ("a", 4, 6, 3, 6.0), ("b", 0, 0, 1, 0.0)]
+
+
+def test_salting_takes_any_column_and_spreads_equal_rows(spark):
+    """Map columns, equal rows under a hot key and NULL keys, at both ends of the limits."""
+    facts = spark.range(1000).select(
+        F.when(F.col("id") % 4 == 0, F.lit(None)).otherwise(F.lit("hot")).alias("g"), F.create_map(F.lit("k"), F.lit(1)).alias("m")
+    )
+    other = spark.createDataFrame([("hot", 1), (None, 2)], "g string, w int")
+    text = F.to_json("m")
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        plain = rows(facts.join(other, ["g"], how).withColumn("m", text))
+        for limit in (1, 37, 10**9):
+            assert rows(joins.salted_join(facts, other, ["g"], how, limit).withColumn("m", text)) == plain
+        for limit in (0, 10**9):
+            assert rows(joins.join_lookup(facts, other, ["g"], how, limit).withColumn("m", text)) == plain
+
+
+def test_every_salt_is_used(spark, monkeypatch):
+    """1,000 equal rows of one key under 20 salts: each salt gets its share."""
+    facts = spark.range(1000).select(F.lit("hot").alias("g"), F.lit(1).alias("v")).repartition(4)
+    other = spark.createDataFrame([("hot", 1)], "g string, w int")
+    joined = joins.salted_join(facts, other, ["g"], "inner", 50)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "monotonically_increasing_id" in plan and "xxhash64" not in plan
+    salts = spark.range(1000).repartition(4).select(F.pmod(F.monotonically_increasing_id(), F.lit(20)).alias("s")).groupBy("s").count().collect()
+    assert len(salts) == 20 and max(r["count"] for r in salts) <= 60
+    assert joined.count() == 1000
+
+
+def test_broadcast_is_bounded_in_bytes(spark):
+    wide = spark.createDataFrame([("a", "x" * 50_000)], "g string, t string")
+    assert joins.broadcast_if_small(wide) is not wide
+    spark.conf.set("spark.pulsegrid.maxBroadcastBytes", "40000")
+    try:
+        assert joins.broadcast_if_small(wide) is wide
+    finally:
+        spark.conf.unset("spark.pulsegrid.maxBroadcastBytes")
+
+
+def test_running_sums_of_nulls(spark):
+    data = [("a", 1, None), ("a", 2, None), ("a", 3, 2.0), ("a", 4, None), ("a", 5, 3.0), ("n", 1, None), ("n", 2, None), (None, 1, None), (None, 2, 1.0)]
+    df = spark.createDataFrame(data, "g string, i int, v double")
+    got = {limit: rows(ordered.layout(df, ["g"], ["i"], limit).running({"run": "v"}, {"all": "v"}).select("g", "i", "v", "run", "all")) for limit in (100, 1)}
+    assert got[100] == got[1]
+    assert ("a", 1, None, None, 5.0) in got[1] and ("n", 2, None, None, None) in got[1]
