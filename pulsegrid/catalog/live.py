@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from pulsegrid.catalog import feeds
@@ -30,45 +32,64 @@ def stream_bucket_stats(spark, sf):
     return rounded(out.withColumn("bucket", F.col("bucket").cast("timestamp_ntz")), "avg_value")
 
 
+def announced_ids(frames):
+    """Every record id that a table of the hand-over carries."""
+    ids = [f.select("recording_id") for f in frames.values() if "recording_id" in f.columns]
+    return reduce(lambda a, b: a.unionByName(b), ids).distinct()
+
+
+def always(status):
+    return lambda f: f["signals"].groupBy("recording_id").count().select("recording_id", F.lit(status).alias("status"))
+
+
 @query(
     "st01_staged_ingest",
-    f"""WITH {feeds.SIGNALS_SQL}, {feeds.LABELS_SQL}, {feeds.BEATS_SQL}
+    f"""WITH {feeds.SIGNALS_SQL}, {feeds.LABELS_SQL}, {feeds.BEATS_SQL}, {feeds.RECORDINGS_SQL}, {feeds.SUBJECTS_SQL}
        SELECT 'signals' AS "table", count(*) AS rows_inserted FROM sig UNION ALL SELECT 'annotations_apnea', count(*) FROM lab
-       UNION ALL SELECT 'annotations_qrs', count(*) FROM beat""",
+       UNION ALL SELECT 'annotations_qrs', count(*) FROM beat UNION ALL SELECT 'recordings', count(*) FROM rec
+       UNION ALL SELECT 'subjects', count(*) FROM sub""",
 )
 def staged_ingest(spark, sf):
     """Stage all records, load them in micro-batches, run the load again, add up the log."""
     staging, store = scratch_path(spark, "staging"), scratch_path(spark, "store")
-    names = ("signals", "annotations_apnea", "annotations_qrs")
-    frames = {n: f for n, f in all_frames(spark, sf).items() if n in names}
-    ingest.stage(frames, staging, ())
-    ingest.announce(frames["signals"].repartition(2, "recording_id"), staging)
-    passing = lambda f: f["signals"].groupBy("recording_id").count().select("recording_id", F.lit("pass").alias("status"))
+    frames = all_frames(spark, sf)
+    folder = ingest.stage(frames, staging, ())
+    ingest.announce(announced_ids(frames).repartition(2, "recording_id"), staging, folder)
     checkpoint = scratch_path(spark, "staging-state")
     for _ in range(2):
         ingest.staged_ingest(
-            spark, staging, store, checkpoint, passing, names, files_per_batch=4, partition=()
+            spark, staging, store, checkpoint, always("pass"), files_per_batch=4, partition=()
         ).awaitTermination()
     return bl.merge_load_logs(ingest.load_log(spark, store)).select("table", "rows_inserted")
 
 
 @query(
     "st02_resume",
-    f"""WITH {feeds.SIGNALS_SQL} SELECT recording_id, count(*) AS n FROM sig GROUP BY 1""",
+    f"""WITH {feeds.SIGNALS_SQL}, {feeds.LABELS_SQL}, {feeds.BEATS_SQL}, {feeds.RECORDINGS_SQL}, {feeds.SUBJECTS_SQL}
+       SELECT 'signals' AS "table", recording_id AS "key", count(*) AS n FROM sig GROUP BY 2
+       UNION ALL SELECT 'annotations_apnea', recording_id, count(*) FROM lab GROUP BY 2
+       UNION ALL SELECT 'annotations_qrs', recording_id, count(*) FROM beat GROUP BY 2
+       UNION ALL SELECT 'recordings', recording_id, count(*) FROM rec GROUP BY 2
+       UNION ALL SELECT 'subjects', subject_id, count(*) FROM sub GROUP BY 2""",
 )
 def resume(spark, sf):
     """A load that breaks in its first batch and is resumed from the same checkpoint."""
     staging, store = scratch_path(spark, "staging"), scratch_path(spark, "store")
-    frames = {"signals": all_frames(spark, sf)["signals"]}
-    ingest.stage(frames, staging, ())
-    ingest.announce(frames["signals"], staging)
+    frames = all_frames(spark, sf)
+    ingest.announce(announced_ids(frames), staging, ingest.stage(frames, staging, ()))
     checkpoint = scratch_path(spark, "staging-state")
-    status = lambda s: lambda f: f["signals"].groupBy("recording_id").count().select("recording_id", F.lit(s).alias("status"))
-    broken = ingest.staged_ingest(spark, staging, store, checkpoint, status("fail"), ("signals",), partition=())
+    broken = ingest.staged_ingest(spark, staging, store, checkpoint, always("fail"), partition=())
     try:
         broken.awaitTermination()
     except Exception as error:  # noqa: BLE001 - the first run is meant to stop
         if "failed validation" not in str(error):
             raise
-    ingest.staged_ingest(spark, staging, store, checkpoint, status("pass"), ("signals",), partition=()).awaitTermination()
-    return spark.read.parquet(f"{store}/signals").groupBy("recording_id").agg(F.count(F.lit(1)).alias("n"))
+    ingest.staged_ingest(spark, staging, store, checkpoint, always("pass"), partition=()).awaitTermination()
+    counted = [
+        spark.read.parquet(f"{store}/{name}")
+        .groupBy(F.col("subject_id" if name == "subjects" else "recording_id").alias("key"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("table", F.lit(name))
+        for name in frames
+    ]
+    return reduce(lambda a, b: a.unionByName(b), counted)

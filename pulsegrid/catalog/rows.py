@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from pulsegrid.catalog import feeds
 from pulsegrid.catalog.feeds import BASE, RATE, WIDTH, table
-from pulsegrid.catalog.registry import query, r6, rounded
+from pulsegrid.catalog.registry import in_order, query, r6, rounded
 from pulsegrid.functions import clean, text, timeline
 from pulsegrid.operators import aggregates as ag
 from pulsegrid.operators import filters as fl
 from pulsegrid.operators import reshape
+from pulsegrid.plans.ordered import with_ordinal
 from pulsegrid.schema import CHANNELS, DEVELOPMENT_RECORDS, EXTRA_CHANNELS
 
 SIG, LAB, BEAT, REC, SUB = (
@@ -90,14 +91,13 @@ def structural_nulls(spark, sf):
 
 @query(
     "prj05_parse_label",
-    r"""SELECT doc_id, coalesce(nullif(trim(regexp_extract(text, '^[^\n]*'), ' ' || chr(9) || chr(10) || chr(13)), ''),
+    r"""SELECT doc_id, coalesce(nullif(trim(text, ' ' || chr(9) || chr(10) || chr(13)), ''),
               nullif(trim(lang), ''), '') AS label
        FROM documents""",
 )
 def parse_label(spark, sf):
-    first_line = F.regexp_extract("text", r"^[^\n]*", 0)
     return table(spark, sf, "documents").select(
-        "doc_id", text.parse_label(first_line, F.col("lang")).alias("label")
+        "doc_id", text.parse_label(F.col("text"), F.col("lang")).alias("label")
     )
 
 
@@ -185,11 +185,24 @@ def format_bytes(spark, sf):
 
 @query(
     "flt01_range_query",
+    f"""WITH {SIG} SELECT recorded_at, ecg_value, row_id, row_number() OVER (ORDER BY recorded_at, row_id) - 1 AS place FROM sig
+       WHERE recording_id = 'a01' AND recorded_at >= TIMESTAMP '2024-01-10 06:00:00' AND recorded_at < TIMESTAMP '2024-01-15 06:00:00'""",
+)
+def range_query(spark, sf):
+    """One record and a half-open time range with literal bounds, in time order."""
+    found = fl.range_query(
+        feeds.clean_signals(spark, sf), "a01", "2024-01-10 06:00:00", "5 days", ("recorded_at", "ecg_value", "row_id"), tie="row_id"
+    )
+    return with_ordinal(found, [], ["recorded_at", "row_id"], "place")
+
+
+@query(
+    "flt01_ranges_per_record",
     f"""WITH {SIG}, s AS (SELECT recording_id, min(recorded_at) AS start_at FROM sig GROUP BY 1)
        SELECT recording_id, recorded_at, ecg_value FROM sig JOIN s USING (recording_id)
        WHERE recorded_at >= start_at AND recorded_at < start_at + INTERVAL 1 DAY""",
 )
-def range_query(spark, sf):
+def ranges_per_record(spark, sf):
     signals = feeds.clean_signals(spark, sf).select("recording_id", "recorded_at", "ecg_value")
     starts = ag.earliest(signals, ["recording_id"])
     return fl.ranges_per_record(signals, starts, "1 day").select("recording_id", "recorded_at", "ecg_value")
@@ -368,12 +381,13 @@ def record_summaries(spark, sf):
 
 @query(
     "so01_order_by_time",
-    f"WITH {SIG} SELECT recording_id, recorded_at, ecg_value FROM sig ORDER BY recording_id, recorded_at",
+    f"""WITH {SIG} SELECT recording_id, recorded_at, ecg_value, row_number() OVER (ORDER BY recording_id, recorded_at, row_id) - 1 AS place
+       FROM sig ORDER BY recording_id, recorded_at, row_id""",
 )
 def order_by_time(spark, sf):
-    return feeds.clean_signals(spark, sf).select("recording_id", "recorded_at", "ecg_value").orderBy(
-        "recording_id", "recorded_at"
-    )
+    """Rows in order, with the place that each row has in the written result."""
+    rows = feeds.clean_signals(spark, sf).select("recording_id", "recorded_at", "ecg_value", "row_id")
+    return in_order(rows, ["recording_id", "recorded_at", "row_id"]).drop("row_id")
 
 
 @query("so04_earliest", f"WITH {SIG} SELECT recording_id, min(recorded_at) AS start_at FROM sig GROUP BY 1")

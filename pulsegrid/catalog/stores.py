@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from pulsegrid.catalog import feeds
 from pulsegrid.catalog.registry import query, rounded
-from pulsegrid.catalog.streams import label_rows
+from pulsegrid.catalog.streams import WSUM_SQL, day_windows, label_rows
 from pulsegrid.functions import text
 from pulsegrid.operators import metrics as me
 from pulsegrid.schema import CHANNELS, SIGNALS
@@ -141,6 +143,37 @@ def write_artifacts(spark, sf):
     )
 
 
+def artifact_streams(spark, sf):
+    """Signals, labels, beats and windows, as they go to artifacts."""
+    windows = day_windows(spark, sf).select("recording_id", "minute_index", F.col("window_start_at").alias("recorded_at"), "sample_count", "apnea_label", "qrs_count")
+    labels = label_rows(spark, sf).select("recording_id", "minute_index", F.col("label_at").alias("recorded_at"), "label")
+    beats = feeds.beats(spark, sf).select("recording_id", "sample_index", "recorded_at")
+    return {"signals": signal_table(spark, sf), "apnea": labels, "qrs": beats, "windows": windows}
+
+
+@query(
+    "snk06_write_all_streams",
+    f"""WITH {WSUM_SQL}, a AS (
+         SELECT 'signals' AS stream, recording_id, recorded_at, sample_index AS place FROM sig
+         UNION ALL SELECT 'apnea', recording_id, recorded_at, minute_index FROM mlab
+         UNION ALL SELECT 'qrs', recording_id, recorded_at, sample_index FROM beat
+         UNION ALL SELECT 'windows', recording_id, TIMESTAMP '{feeds.BASE}' + to_seconds(minute_index * {feeds.WIDTH}), minute_index FROM wins)
+       SELECT stream, recording_id, count(*) AS n, sum(place)::BIGINT AS places, strftime(min(recorded_at), '%Y-%m-%dT%H:%M:%S') AS first_at FROM a GROUP BY 1, 2""",
+)
+def write_all_streams(spark, sf):
+    """All four streams written as artifacts; their lines read back and summed up per record."""
+    root = scratch_path(spark, "artifacts")
+    exports.write_artifacts(artifact_streams(spark, sf), root)
+    out = None
+    for stream, place in (("signals", "sample_index"), ("apnea", "minute_index"), ("qrs", "sample_index"), ("windows", "minute_index")):
+        cells = F.json_tuple("value", "recording_id", place, "recorded_at").alias("id", "place", "at")
+        part = spark.read.text(f"{root}/{stream}").select(cells).groupBy(F.lit(stream).alias("stream"), F.col("id").alias("recording_id")).agg(
+            F.count(F.lit(1)).alias("n"), F.sum(F.col("place").cast("long")).alias("places"), F.substring(F.min("at"), 1, 19).alias("first_at")
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query("src05_read_jsonl", f"WITH {SIG} SELECT recording_id, sample_index, recorded_at, {', '.join(CHANNELS)} FROM sig")
 def read_jsonl(spark, sf):
     root = scratch_path(spark, "artifacts")
@@ -149,10 +182,12 @@ def read_jsonl(spark, sf):
     return back.withColumn("recorded_at", F.col("recorded_at").cast("timestamp_ntz"))
 
 
-@query("src08_discover_records", f"WITH {SIG}, {LAB} SELECT DISTINCT recording_id FROM lab")
+@query("src08_discover_records", f"WITH {SIG}, {LAB}, {BEAT} SELECT recording_id FROM lab UNION SELECT recording_id FROM sig UNION SELECT recording_id FROM beat")
 def discover_records(spark, sf):
     root = scratch_path(spark, "artifacts")
-    exports.write_artifacts({"apnea": feeds.minute_labels(spark, sf), "qrs": feeds.minute_labels(spark, sf)}, root)
+    exports.write_artifacts(
+        {"signals": signal_table(spark, sf), "apnea": feeds.minute_labels(spark, sf), "qrs": feeds.beats(spark, sf)}, root
+    )
     return files.discover_records(files.list_files(spark, root, "*.txt"))
 
 
@@ -229,12 +264,29 @@ def compact_layout(spark, sf):
     return spark.read.parquet(target).select("recording_id", "sample_index", "recorded_at", "ecg_value")
 
 
-@query("snk09_storage_report")
+@query(
+    "snk09_storage_report",
+    f"""WITH {SIG}, {LAB}, {BEAT}, n AS (SELECT 'signals' AS "table", count(*) AS stored FROM sig
+         UNION ALL SELECT 'annotations_apnea', count(*) FROM lab UNION ALL SELECT 'annotations_qrs', count(*) FROM beat)
+       SELECT "table", stored, TRUE AS has_bytes, TRUE AS ratio_holds, TRUE AS has_chunks FROM n
+       UNION ALL SELECT 'total', sum(stored)::BIGINT, TRUE, TRUE, TRUE FROM n""",
+)
 def storage_report(spark, sf):
-    source, target = scratch_path(spark, "plain"), scratch_path(spark, "compact")
-    signal_table(spark, sf).write.option("compression", "none").parquet(source)
-    tables.compact_layout(spark, source, target)
-    return tables.storage_report(spark, {"signals": source}, {"signals": target})
+    """Rows, and what holds of the sizes: bytes differ from run to run."""
+    before, after, counts = {}, {}, []
+    for name in tables.RECORD_TABLES:
+        before[name], after[name] = scratch_path(spark, "plain"), scratch_path(spark, "compact")
+        all_frames(spark, sf)[name].write.option("compression", "none").parquet(before[name])
+        tables.compact_layout(spark, before[name], after[name])
+        counts.append(spark.read.parquet(after[name]).agg(F.count(F.lit(1)).alias("stored")).withColumn("table", F.lit(name)))
+    rows = reduce(lambda a, b: a.unionByName(b), counts)
+    rows = rows.rollup("table").agg(F.sum("stored").alias("stored")).withColumn("table", F.coalesce("table", F.lit("total")))
+    ratio = F.abs(F.col("ratio") - F.col("bytes_before") / F.col("bytes_after")) < 1e-12
+    report = tables.storage_report(spark, before, after)
+    return rows.join(report, "table").select(
+        "table", "stored", ((F.col("bytes_before") > 0) & (F.col("bytes_after") > 0)).alias("has_bytes"), ratio.alias("ratio_holds"),
+        (F.col("chunks") > 0).alias("has_chunks"),
+    )
 
 
 @query(
@@ -260,3 +312,16 @@ def export(spark, sf):
 )
 def chunked_layout(spark, sf):
     return tables.chunk_counts(feeds.clean_signals(spark, sf))
+
+
+@query(
+    "snk11_scan_chunks",
+    f"""WITH {SIG} SELECT recording_id, sample_index, recorded_at, ecg_value, strftime(date_trunc('day', recorded_at), '%Y-%m-%d') AS chunk
+       FROM sig WHERE recording_id = 'b01' AND recorded_at >= TIMESTAMP '2024-01-05 12:00:00' AND recorded_at < TIMESTAMP '2024-01-20 06:00:00'""",
+)
+def scan_chunks(spark, sf):
+    """The whole table written in day chunks, one record's range read back from its folders."""
+    path = scratch_path(spark, "chunks")
+    tables.write_chunked(signal_table(spark, sf).select("recording_id", "sample_index", "recorded_at", "ecg_value"), path, "day", folders=("chunk",))
+    found = tables.scan_chunks(spark, path, "b01", "2024-01-05 12:00:00", "2024-01-20 06:00:00", "day")
+    return found.withColumn("chunk", F.col("chunk").cast("string"))

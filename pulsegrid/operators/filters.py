@@ -22,14 +22,18 @@ def range_query(
     columns: Sequence[str] = ("recorded_at", "ecg_value"),
     record_col: str = "recording_id",
     time_col: str = "recorded_at",
+    tie: str | None = None,
 ) -> DataFrame:
-    """One record, a half-open time range, in time order; both predicates reach the scan."""
+    """One record, a half-open time range, in time order; both predicates reach the scan.
+
+    ``tie`` names a selected column that orders rows of the same time.
+    """
     begin = F.lit(start).cast(df.schema[time_col].dataType)
     end = begin + F.expr(f"interval {width}")
     return (
         df.where((F.col(record_col) == record) & (F.col(time_col) >= begin) & (F.col(time_col) < end))
         .select(*columns)
-        .orderBy(time_col)
+        .orderBy(time_col, *([tie] if tie else []))
     )
 
 

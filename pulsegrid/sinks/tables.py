@@ -52,7 +52,7 @@ def layout(df: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
     Ranges balance the tasks whatever the size of a record, keep a record in few files and
     give row groups narrow time ranges that a scan can skip.
     """
-    columns = [F.col(k) if isinstance(k, str) else k for k in keys]
+    columns = [F.col(k) if isinstance(k, str) else k for k in (dict.fromkeys(keys) if all(isinstance(k, str) for k in keys) else keys)]
     return df.repartitionByRange(*columns).sortWithinPartitions(*columns)
 
 
@@ -94,9 +94,19 @@ def insert_ignore(existing: DataFrame | None, rows: DataFrame, key: str, order:
     return fresh if existing is None else without_match(fresh, existing, [key])
 
 
-def append_missing_records(existing: DataFrame | None, rows: DataFrame, key: str = KEY) -> DataFrame:
-    """Rows of records that have no row at all in the table."""
-    return rows if existing is None else rows_with_keys(rows, existing, [key], keep=False)
+def append_missing_records(existing: DataFrame | None, rows: DataFrame, key: str = KEY, listed: int = 1000) -> DataFrame:
+    """Rows of records that have no row at all in the table.
+
+    The records of ``rows`` are named in the filter on the table while they are at most
+    ``listed``, so the scan is pruned to their folders and row groups; with more records the
+    keys are joined.
+    """
+    if existing is None:
+        return rows
+    wanted = rows.select(key).distinct().limit(listed + 1).collect()
+    if len(wanted) <= listed:
+        existing = existing.where(F.col(key).isin([r[0] for r in wanted if r[0] is not None]))
+    return rows_with_keys(rows, existing, [key], keep=False)
 
 
 def replaced_records(existing: DataFrame, rows: DataFrame, key: str = KEY) -> DataFrame:
@@ -251,9 +261,15 @@ def chunk_counts(df: DataFrame, unit: str = "hour", keys: Sequence[str] = (KEY,)
     return df.groupBy(*keys, chunk_of(unit=unit).alias("chunk")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def write_chunked(df: DataFrame, path: str, unit: str = "hour", mode: str = "overwrite") -> int:
-    """Table partitioned by record and time chunk (hours for signals, days for annotations)."""
-    return write_table(df.withColumn("chunk", chunk_of(unit=unit)), path, (KEY, "recorded_at"), (KEY, "chunk"), mode)
+def write_chunked(
+    df: DataFrame, path: str, unit: str = "hour", mode: str = "overwrite", folders: Sequence[str] = (KEY, "chunk")
+) -> int:
+    """Table partitioned by record and time chunk (hours for signals, days for annotations).
+
+    ``folders=("chunk",)`` keeps many short records together: fewer, larger files, in which the
+    sort by record lets a scan skip row groups.
+    """
+    return write_table(df.withColumn("chunk", chunk_of(unit=unit)), path, (*folders, KEY, "recorded_at"), folders, mode)
 
 
 def scan_chunks(spark: SparkSession, path: str, record: str, start: str, end: str, unit: str = "hour") -> DataFrame:

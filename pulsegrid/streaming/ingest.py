@@ -1,14 +1,16 @@
 """Staged, resumable loading of records with a validation gate.
 
-Records wait in a staging folder as Parquet tables; a manifest file names the records that
-are complete. The manifest is a file stream: every micro-batch is a set of whole records
+Records wait as Parquet tables in staging folders, one for each hand-over; a manifest names the
+records that are complete and their folder, so a batch reads its own folders only. The manifest is a file stream: every micro-batch is a set of whole records
 that is validated, loaded and published. A failing record stops the stream; the checkpoint
 then still points before that batch and its staging stays.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,24 +18,43 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pulsegrid.plans.joins import rows_with_keys
-from pulsegrid.session import materialise
+from pulsegrid.session import materialise, named
 from pulsegrid.sinks import tables
 
 KEY = "recording_id"
-MANIFEST = "recording_id string"
+MANIFEST = "recording_id string, folder string"
 
 
-def stage(frames: Mapping[str, DataFrame], root: str, partition: Sequence[str] = (KEY,)) -> None:
-    """Write the tables of new records to staging, by record so that they can be dropped."""
+def stage(frames: Mapping[str, DataFrame], root: str, partition: Sequence[str] = (KEY,), folder: str | None = None) -> str:
+    """Write the tables of new records to a staging folder of their own; returns its name.
+
+    Tables are partitioned by record, so that single records can be dropped.
+    """
+    folder = folder or uuid.uuid4().hex
     for name, df in frames.items():
         keys = [k for k in partition if k in df.columns]
         ordered = df.repartitionByRange(KEY) if keys else df
-        ordered.write.mode("append").partitionBy(*keys).parquet(f"{root}/{name}")
+        ordered.write.mode("append").partitionBy(*keys).parquet(f"{root}/{folder}/{name}")
+    return folder
+
+
+def announce(records: DataFrame, root: str, folder: str) -> None:
+    """Declare records of a staging folder complete; comes after their rows were staged."""
+    records.select(KEY).distinct().withColumn("folder", F.lit(folder)).write.mode("append").json(f"{root}/manifest")
 
 
-def announce(records: DataFrame, root: str) -> None:
-    """Declare records complete; comes after their rows were staged."""
-    records.select(KEY).distinct().write.mode("append").json(f"{root}/manifest")
+def staged_tables(spark: SparkSession, root: str, announced: DataFrame, names: Sequence[str]) -> dict[str, DataFrame]:
+    """The tables of announced records, read from the folders that hold them and no others."""
+    folders = [r["folder"] for r in announced.select("folder").distinct().collect()]  # one for each stage() call
+    records = announced.select(KEY).distinct()
+    frames: dict[str, DataFrame] = {}
+    for name in names:
+        parts = [tables.read_table(spark, f"{root}/{folder}/{name}") for folder in sorted(folders)]
+        parts = [p for p in parts if p is not None]
+        if parts:
+            whole = reduce(lambda a, b: a.unionByName(b), parts)
+            frames[name] = rows_with_keys(whole, records, [KEY]) if KEY in whole.columns else whole
+    return frames
 
 
 class ValidationFailed(RuntimeError):
@@ -65,23 +86,17 @@ def staged_ingest(
     stream = manifest.json(f"{staging}/manifest")
 
     def load(batch: DataFrame, number: int) -> None:
-        records = materialise(batch.select(KEY).distinct())
-        frames: dict[str, DataFrame] = {}
-        for name in names:
-            staged = tables.read_table(spark, f"{staging}/{name}")
-            if staged is None:
-                continue
-            if KEY in staged.columns:
-                frames[name] = rows_with_keys(staged, records, [KEY])
+        announced = materialise(batch.select(KEY, "folder").distinct())
+        frames = staged_tables(spark, staging, announced, names)
         if not frames:
             return  # loaded and dropped before an interruption
         if subjects_of is not None and "recordings" in frames:
             frames["subjects"] = subjects_of(frames["recordings"])
         report = materialise(validate(frames))
         report.write.mode("overwrite").parquet(f"{store}/_reports/batch={number}")
-        failed = [r[KEY] for r in report.where(F.col("status") == "fail").orderBy(KEY).limit(20).collect()]
+        failed = named(report.where(F.col("status") == "fail").select(KEY).distinct(), KEY)
         if failed:
-            raise ValidationFailed(f"records failed validation: {', '.join(failed)}")
+            raise ValidationFailed(f"records failed validation: {failed}; see {store}/_reports/batch={number}")
         log, error = tables.load_tables(spark, frames, store, orders, partition)
         rows: list[tuple[Any, ...]] = [(r["table"], r["rows_inserted"], r["duration_sec"], i) for i, r in enumerate(log)]
         if rows:
@@ -91,9 +106,9 @@ def staged_ingest(
         if error is not None:
             raise error
         if not keep_staging:  # staged by record, see stage()
-            ids = [r[KEY] for r in records.toLocalIterator()]
-            for name in names:
-                tables.drop_partitions(spark, f"{staging}/{name}", ids)
+            for folder in [r["folder"] for r in announced.select("folder").distinct().collect()]:
+                for name in names:
+                    tables.drop_partitions(spark, f"{staging}/{folder}/{name}", announced.where(F.col("folder") == folder))
 
     return (
         stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

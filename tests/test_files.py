@@ -334,18 +334,24 @@ def test_staged_ingest_stops_and_resumes(spark, extracted, tmp_path):
     out, _ = extracted
     staging, store, state = (str(tmp_path / n) for n in ("staging", "store", "state"))
     frames = {n: out[n] for n in tables.LOAD_ORDER if n != "subjects"}
-    ingest.stage(frames, staging)
-    ingest.announce(frames["recordings"], staging)
+    folder = ingest.stage(frames, staging)
+    ingest.announce(frames["recordings"], staging, folder)
+    # what other hand-overs left in staging is not read
+    other = ingest.stage({"signals": frames["signals"]}, staging)
+    mine = spark.createDataFrame([("a01", folder)], ingest.MANIFEST)
+    seen = ingest.staged_tables(spark, staging, mine, tables.LOAD_ORDER)["signals"]
+    assert seen.inputFiles() and all(f"/{folder}/" in f and other not in f for f in seen.inputFiles())
+    assert seen.select("recording_id").distinct().count() == 1
     report = out["report"].select("recording_id", "status")
     first = ingest.staged_ingest(spark, staging, store, state, lambda f: report)
     with pytest.raises(Exception, match="a01"):
         first.awaitTermination()
-    assert not tables.exists(spark, f"{store}/signals") and tables.exists(spark, f"{staging}/signals")
+    assert not tables.exists(spark, f"{store}/signals") and tables.exists(spark, f"{staging}/{folder}/signals")
     accept = lambda f: f["signals"].select("recording_id", F.lit("pass").alias("status")).distinct()
-    seen = lambda r: r.select("subject_id", F.lit("n").alias("notes")).distinct()
+    subjects = lambda r: r.select("subject_id", F.lit("n").alias("notes")).distinct()
     for _ in range(2):
-        ingest.staged_ingest(spark, staging, store, state, accept, subjects_of=seen, keep_staging=False).awaitTermination()
-    assert tables.read_table(spark, f"{staging}/signals") is None
+        ingest.staged_ingest(spark, staging, store, state, accept, subjects_of=subjects, keep_staging=False).awaitTermination()
+    assert tables.read_table(spark, f"{staging}/{folder}/signals") is None
     assert spark.read.parquet(f"{store}/signals").count() == 1810
     assert spark.read.parquet(f"{store}/subjects").count() == 2
 
