@@ -44,6 +44,9 @@ TARGET_RECALL = 0.999
 CELL = 128
 CHUNK = 4096
 QUERIES = 65536
+#: Cells that a query may visit on average in the sample; a finer grid that needs more is not used,
+#: because each visit is a row to shuffle. It changes no result, only the number of comparisons.
+MAX_VISITS = 8
 _MAX_CENTROIDS = 256
 _BLOCK = 512
 
@@ -120,6 +123,16 @@ def fit_codebook(sample: np.ndarray, k: int, threshold: float, recall: float = T
     return Codebook(left, right, max(float(np.quantile(m, recall)) for m in margins) + 1e-9)
 
 
+def fit_grid(sample: np.ndarray, k: int, threshold: float) -> Codebook:
+    """The codebook of at most ``k`` centroids a half whose queries visit few cells."""
+    while True:
+        book = fit_codebook(sample, k, threshold)
+        some = sample[:1000]
+        if k == 1 or len(book.visited(some)[0]) <= MAX_VISITS * len(some):
+            return book
+        k = max(1, 2 * k // 3)
+
+
 def _margin(book: Codebook, queries: np.ndarray, others: np.ndarray) -> np.ndarray:
     """How far past its nearest cell each query must go to meet the other vector's cell."""
     a, b = book.distances(queries)
@@ -238,7 +251,7 @@ def _fit(reps: DataFrame, threshold: float) -> dict[int, Codebook]:
     for dim in np.unique(dims).tolist():
         unit = _unit(_matrix(column.filter(pa.array(dims == dim)), dim))
         if dim > 1 and len(unit) >= 4 * k:
-            books[dim] = fit_codebook(unit, k, threshold)
+            books[dim] = fit_grid(unit, k, threshold)
     return books
 
 
