@@ -4,7 +4,7 @@ from importlib import import_module
 
 from pulsegrid.catalog.registry import QUERIES, SQL
 
-FAMILIES = ("rows", "streams", "scores", "stores", "models", "live")
+FAMILIES = ("rows", "streams", "scores", "stores", "raw", "models", "live")
 
 
 def load_all():

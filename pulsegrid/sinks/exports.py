@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from typing import Any
 
 import pandas as pd
@@ -77,6 +78,63 @@ def write_samples(df: DataFrame, column: str, root: str, units: float = 200.0) -
     return df.select(column).mapInPandas(save, "file string, samples long")
 
 
+def write_files(rows: DataFrame, root: str, name: str = "name", body: str = "body") -> int:
+    """One file for each row, named and filled by its columns; returns the number of files."""
+    target = qualified(rows.sparkSession, root)
+
+    def save(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for file, content in zip(batch["name"], batch["body"]):
+                with _attempt_file(target, file) as stream:
+                    stream.write(content)
+            yield batch[["name"]]
+
+    return rows.select(F.col(name).alias("name"), F.col(body).cast("binary").alias("body")).mapInPandas(save, "name string").count()
+
+
+def write_sample_files(rows: DataFrame, root: str, columns: Sequence[str], file: str = "file", order: str = "sample_index") -> int:
+    """Interleaved 16-bit little-endian numbers of each file's rows in order; returns the files.
+
+    Rows are dealt and sorted by file, and stream into it; no file is held whole.
+    """
+    import numpy as np
+
+    target = qualified(rows.sparkSession, root)
+    names = list(columns)
+
+    def save(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        open_name, manager, stream, done = None, None, None, []
+        for batch in batches:
+            for name, part in batch.groupby("_file", sort=False):
+                if name != open_name:
+                    if manager is not None:
+                        manager.__exit__(None, None, None)
+                    open_name, manager = name, _attempt_file(target, name)
+                    stream = manager.__enter__()
+                    done.append(name)
+                stream.write(part[names].to_numpy().astype("<i2").tobytes())
+        if manager is not None:
+            manager.__exit__(None, None, None)
+        yield pd.DataFrame({"name": done})
+
+    ordered = rows.select(F.col(file).alias("_file"), F.col(order).alias("_order"), *names).repartition("_file").sortWithinPartitions("_file", "_order")
+    return ordered.select("_file", *names).mapInPandas(save, "name string").count()
+
+
+@contextmanager
+def _attempt_file(target: str, name: str) -> Iterator[Any]:
+    """A file under a name of this attempt, moved to its own name when it is complete."""
+    from pyarrow import fs
+    from pyspark import TaskContext
+
+    system, inner = fs.FileSystem.from_uri(target)
+    system.create_dir(inner, recursive=True)
+    unfinished = f"{inner}/_attempt{TaskContext.get().taskAttemptId()}-{name}.tmp"
+    with system.open_output_stream(unfinished) as stream:
+        yield stream
+    system.move(unfinished, f"{inner}/{name}")
+
+
 def export(spark: SparkSession, tables: Mapping[str, DataFrame], target: str, mode: str = "full") -> DataFrame:
     """Export tables (full, schema or data) and return the manifest (name, mode, path)."""
     if mode not in ("full", "schema", "data"):
