@@ -309,14 +309,6 @@ def box_stats(df: DataFrame, group: Sequence[str], value: str = "score", limit=N
     )
 
 
-def loss_group(split: Column, y: Column) -> Column:
-    """Group of a window in the loss box plot."""
-    return (
-        F.when((split == "train") & (y == 0), "Train").when((split == "val") & (y == 0), "Validation")
-        .when((split == "test") & (y == 0), "Test Healthy").when((split == "test") & (y == 1), "Test Anomalous")
-    )
-
-
 def pick_examples(
     df: DataFrame, by: Sequence[str] = (), y: str = "y", spread: str = "spread", loss: str = "loss", order: str = "window_id",
     percent: float = 60.0, limit=None,

@@ -25,23 +25,6 @@ DEVELOPMENT_RECORDS = (
 FEATURES = ("mean", "std", "min", "max", "range", "slope", "energy")
 FEATURE_WEIGHTS = (0.10, 0.25, 0.10, 0.10, 0.25, 0.05, 0.15)
 
-SUBJECTS = T.StructType(
-    [T.StructField("subject_id", T.StringType(), False), T.StructField("notes", T.StringType())]
-)
-RECORDINGS = T.StructType(
-    [
-        T.StructField("recording_id", T.StringType(), False),
-        T.StructField("subject_id", T.StringType(), False),
-        T.StructField("split", T.StringType()),
-        T.StructField("record_category", T.StringType()),
-        T.StructField("has_respiration", T.BooleanType()),
-        T.StructField("has_apnea_labels", T.BooleanType()),
-        T.StructField("source_record_name", T.StringType()),
-        T.StructField("sampling_rate_hz", T.IntegerType()),
-        T.StructField("length_seconds", T.IntegerType()),
-        T.StructField("recording_start_time", T.TimestampType()),
-    ]
-)
 SIGNALS = T.StructType(
     [
         T.StructField("recording_id", T.StringType(), False),
@@ -50,15 +33,6 @@ SIGNALS = T.StructType(
         *[T.StructField(name, T.DoubleType()) for name in CHANNELS],
     ]
 )
-MINUTE_LABELS = T.StructType(
-    [
-        T.StructField("recording_id", T.StringType(), False),
-        T.StructField("minute_index", T.IntegerType(), False),
-        T.StructField("recorded_at", T.TimestampType(), False),
-        T.StructField("label", T.StringType()),
-        T.StructField("is_apnea", T.BooleanType()),
-    ]
-)
 BEATS = T.StructType(
     [
         T.StructField("recording_id", T.StringType(), False),
@@ -116,23 +90,3 @@ WINDOWS = T.StructType(
         T.StructField("modalities", T.MapType(T.StringType(), CHANNEL_STATS)),
     ]
 )
-LOAD_LOG = T.StructType(
-    [
-        T.StructField("database_name", T.StringType()),
-        T.StructField("source_dir", T.StringType()),
-        T.StructField("start_time", T.StringType()),
-        T.StructField("end_time", T.StringType()),
-        T.StructField(
-            "stats",
-            T.ArrayType(
-                T.StructType(
-                    [
-                        T.StructField("table", T.StringType()),
-                        T.StructField("rows_inserted", T.LongType()),
-                        T.StructField("duration_sec", T.DoubleType()),
-                    ]
-                )
-            ),
-        ),
-    ]
-)
