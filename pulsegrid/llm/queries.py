@@ -72,6 +72,11 @@ def line_windows(spark, sf):
     return linededup.dedup_lines(table(spark, sf, "documents")).select("doc_id", "text", "n_removed")
 
 
+@query("op4_line_windows_short", linededup.ORACLE_SHORT)
+def line_windows_short(spark, sf):
+    return linededup.dedup_lines(table(spark, sf, "documents"), short=True).select("doc_id", "text", "n_removed")
+
+
 REPEAT_LIMIT = 2.0
 
 

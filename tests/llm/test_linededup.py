@@ -48,3 +48,36 @@ def test_equals_brute_force(spark, case):
 def test_query_equals_sql(spark):
     sf = "/root/testdata/sf0.001"
     assert compare(spark, duck(sf), sf, "op4", QUERIES["op4_line_windows"], SQL["op4_line_windows"]) is None
+
+
+SHORT = {
+    "copies": [(1, "a"), (2, " a\t"), (3, "\n\na\n"), (4, "a b"), (5, None), (None, "a"), (2, " a\t")],
+    "two": [(1, "a\nb"), (2, "a\n\n b"), (3, "b\na"), (4, "a"), (5, "a\nb\nc"), (6, "x\na\nb\nc\ny"), (7, "a b")],
+}
+SHORT_WANT = {
+    "copies": [(1, "a"), (2, ""), (3, ""), (4, "a b"), (5, None), (None, ""), (2, "")],
+    "two": [(1, "a\nb"), (2, ""), (3, "b\na"), (4, "a"), (5, "a\nb\nc"), (6, "x\ny"), (7, "a b")],
+}
+
+
+@pytest.mark.parametrize("case", SHORT)
+def test_short_texts_are_compared(spark, case):
+    df = spark.createDataFrame(SHORT[case], "doc_id long, text string")
+    got = [(r.doc_id, r.text) for r in linededup.dedup_lines(df, short=True).collect()]
+    assert sorted(got, key=str) == sorted(SHORT_WANT[case], key=str)
+
+
+def test_short_query_equals_sql_and_edits_more(spark):
+    sf = "/root/testdata/sf0.01"
+    con = duck(sf)
+    assert compare(spark, con, sf, "op4", QUERIES["op4_line_windows_short"], SQL["op4_line_windows_short"]) is None
+    gone = {k: con.execute(f"SELECT count(*) FROM ({SQL[k]}) WHERE n_removed > 0").fetchone()[0] for k in ("op4_line_windows", "op4_line_windows_short")}
+    assert gone["op4_line_windows_short"] > gone["op4_line_windows"]
+
+
+def test_pipeline_drops_short_copies_in_the_stage_after_line_dedup(spark):
+    from corpus_pipeline import line_dedup, near_dedup
+
+    rows = [(1, "one short line of words"), (2, "one short line of words"), (3, "two\nlines"), (4, "two\nlines"), (5, "something else here")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in near_dedup(spark, line_dedup(spark, df, ""), "").collect()) == [1, 3, 5]
