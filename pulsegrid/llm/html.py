@@ -38,7 +38,9 @@ _TOKEN = re.compile(
     re.S | re.I,
 )
 _NAMES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_MAY_HIDE = re.compile(r"hidden|display", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s/>=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
+_NOT_DISPLAYED = re.compile(r"(?:^|;|\*/)\s*display\s*:\s*none(?![\w-])", re.I)
 _WORDS = re.compile(r"[a-z]+|(?<=[a-z])(?=[A-Z])")
 
 #: Elements that end a text block where they open or close.
@@ -100,6 +102,17 @@ def _name_score(attributes: str) -> int:
     return score
 
 
+def _hides(attributes: str) -> bool:
+    """An attribute named hidden, aria-hidden that is true, or a style that does not display; not such words in other values."""
+    if not _MAY_HIDE.search(attributes):
+        return False
+    for found in _ATTRIBUTE.finditer(attributes):
+        name, value = found[1].lower(), found[2] or found[3] or found[4] or ""
+        if name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true" or name == "style" and _NOT_DISPLAYED.search(value):
+            return True
+    return False
+
+
 def blocks_of(page: str) -> list[Block]:
     """Flat text blocks in page order."""
     out: list[Block] = []
@@ -173,7 +186,7 @@ def blocks_of(page: str) -> list[Block]:
         if name in VOID or tag["attributes"].endswith("/") and name not in BLOCK:
             continue
         attributes = tag["attributes"]
-        enter(name, _name_score(attributes) if attributes and name not in ("html", "body") else 0, bool(attributes and _HIDDEN.search(attributes)))
+        enter(name, _name_score(attributes) if attributes and name not in ("html", "body") else 0, bool(attributes and _hides(attributes)))
     text_at(at, len(page))
     flush()
     return out

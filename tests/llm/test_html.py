@@ -92,3 +92,13 @@ def test_query_takes_articles_of_given_pages(spark):
         article = re.search(r"<article>(.*?)(?:</article>|<footer|\Z)", pages[r.page_id], re.S)[1]
         parts = [" ".join(entities.unescape(re.sub(r"<[^>]+>", " ", p)).split()) for p in re.split(r"</?(?:p|h1)>", article)]
         assert r.text == "\n".join(p for p in parts if p) and r.n_chars == len(r.text)
+
+
+@pytest.mark.parametrize("attributes, hides", [
+    ('title="the hidden door"', False), ('class="flex hidden md:block"', False), ("data-x='a hidden b'", False), ("class=hidden", False),
+    ('title="display: none is CSS"', False), ('title="aria-hidden=true"', False), ('style="x-display:none"', False), ('aria-hidden="false"', False),
+    ('data-hidden="1"', False), ("hidden", True), ('class="a"hidden', True), ('id=x HIDDEN=""', True), ('hidden="hidden" class="b"', True),
+    ('title="it is hidden" hidden', True), ('style="color:red; DISPLAY : none!important"', True), ("style=display:none", True), ("aria-hidden=true", True),
+])
+def test_only_hiding_attributes_hide(attributes, hides):
+    assert texts(f"<div {attributes}><p>inside</p></div><p>after</p>") == ([] if hides else ["inside"]) + ["after"]
