@@ -41,7 +41,8 @@ RIDGE = 0.1
 #: Characters and texts that are worked on at once.
 _CHARS = 1 << 19
 _ROWS = 256
-_LETTER = re.compile(r"[^\W\d_]")
+#: Word characters but decimal digits; of these signs such as ½, ² and ① are no letters (``str.isalpha``, \p{L} in ``learn``).
+_SIGN = re.compile(r"[^\W\d_]")
 
 
 def presence(texts: list[str]) -> np.ndarray:
@@ -49,10 +50,14 @@ def presence(texts: list[str]) -> np.ndarray:
 
     Texts are lower-cased, runs of characters that are no letters count as one blank.
     """
-    held = np.zeros(len(texts) * DIM, dtype=np.uint8)
-    folded = [f" {t} " for t in texts]
+    return _grams([f" {t} " for t in texts])
+
+
+def _grams(folded: list[str]) -> np.ndarray:
+    """Like ``presence``, of texts that have their outer blanks."""
+    held = np.zeros(len(folded) * DIM, dtype=np.uint8)
     codes = np.frombuffer("".join(folded).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
-    row = np.repeat(np.arange(len(texts), dtype=np.int64), [len(t) for t in folded])
+    row = np.repeat(np.arange(len(folded), dtype=np.int64), [len(t) for t in folded])
     rolled = np.zeros(len(codes), dtype=np.uint64)
     for n in ORDERS:
         if len(codes) < n:
@@ -62,11 +67,14 @@ def presence(texts: list[str]) -> np.ndarray:
             mixed = (rolled * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - 14)
         inside = row[: len(rolled)] == row[n - 1 :]
         held[row[: len(rolled)][inside] * DIM + mixed[inside].astype(np.int64)] = 1
-    return held.reshape(len(texts), DIM)
+    return held.reshape(len(folded), DIM)
 
 
 def folded_text(text: str) -> str:
-    return re.sub(r"[\W\d_]+", " ", text.lower())
+    folded = re.sub(r"[\W\d_]+", " ", text.lower())
+    if folded.replace(" ", "").isalpha():
+        return folded
+    return re.sub(" +", " ", "".join([c if c.isalpha() else " " for c in folded]))
 
 
 def presence_of_whole(texts: list[str]) -> np.ndarray:
@@ -74,9 +82,9 @@ def presence_of_whole(texts: list[str]) -> np.ndarray:
     held = np.zeros((len(texts), DIM), dtype=np.uint8)
     for low, high in pieces([len(t) for t in texts], _CHARS):
         if high - low == 1 and len(texts[low]) > _CHARS:
-            t = texts[low]
+            t = f" {texts[low]} "
             for at in range(0, len(t), _CHARS):
-                held[low] |= presence([t[max(0, at - 4) : at + _CHARS]])[0]
+                held[low] |= _grams([t[max(0, at - max(ORDERS) + 1) : at + _CHARS]])[0]
         else:
             held[low:high] = presence(texts[low:high])
     return held
@@ -125,7 +133,7 @@ def fit(held: np.ndarray, languages: list[str]) -> LanguageModel:
 
 
 def has_letter(text: str | None) -> bool:
-    return text is not None and _LETTER.search(text) is not None
+    return text is not None and any(found[0].isalpha() for found in _SIGN.finditer(text))
 
 
 def predict(model: LanguageModel | None, texts: list[str | None]) -> tuple[list[str], np.ndarray]:

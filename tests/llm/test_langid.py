@@ -68,3 +68,22 @@ def test_nothing_to_learn_from(spark):
     df = spark.createDataFrame([(1, "some text", None)], "doc_id long, text string, lang string")
     assert [tuple(r)[2:] for r in langid.identify_held_out(df).collect()] == [("und", 0.0)]
     assert langid.identify_held_out(df.limit(0)).collect() == []
+
+
+def test_number_signs_are_no_letters(spark):
+    signs = ["25 ½", "10²", "①", "Ⅳ", "٣ 12 _"]
+    assert not any(map(langid.has_letter, signs)) and all(map(langid.has_letter, ["½ a", "ª", "漢", "一", "ß²"]))
+    assert all(any(map(str.isalpha, c)) == langid.has_letter(c) for c in map(chr, range(0x110000)))
+    assert langid.folded_text("Ein ½ und 10² Ⅳ_x") == "ein und x"
+    rows = [(0, "the house and the garden", "en"), (1, "das haus und der garten", "de"), *((i, t, "de") for i, t in enumerate(signs, 2))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r.doc_id for r in langid.identify_held_out(df).collect() if r.lang_pred == "und"} == {2, 3, 4, 5, 6}
+    assert {r.doc_id for r in langid.without_unknown_language(df).collect()} == {0, 1}
+
+
+def test_parts_of_a_long_text_hold_its_ngrams_only(monkeypatch):
+    texts = [langid.folded_text(" ".join(f"word{chr(97 + i % 26)}q{chr(97 + i // 26 % 26)}" for i in range(n))) for n in (0, 1, 700, 4000)]
+    whole = langid.presence_of_whole(texts)
+    for size in (7, 997, 1000, len(texts[2]), len(texts[2]) + 1):
+        monkeypatch.setattr(langid, "_CHARS", size)
+        assert (langid.presence_of_whole(texts) == whole).all()
