@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsegrid.llm import html, langid, linededup, mixing, multiindex, pieces, quality, sharding, simhash, urls
+from pulsegrid.llm import html, langid, linededup, mixing, multiindex, pieces, quality, resampling, sharding, simhash, urls
 from pulsegrid.llm.common import table, tokenizer_path
 from pulsegrid.llm.html_pages import PAGES
 
@@ -100,3 +100,9 @@ def main_text(spark, sf):
 @query("op1_inverted_multi_index")
 def inverted_multi_index(spark, sf):
     return multiindex.near_vectors(table(spark, sf, "embeddings"))
+
+
+@query("op13_target_resampling", resampling.oracle())
+def target_resampling(spark, sf):
+    found = resampling.importance(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
