@@ -256,8 +256,8 @@ def _crc(text: str) -> str:
     """DuckDB expression: CRC-32 of the UTF-8 bytes of a text expression, byte by byte with the usual table."""
     byte = f"(('0x' || substr(hex(encode({text})), 2 * i - 1, 2))::UBIGINT)"
     return (
-        f"xor(list_reduce(list_concat([4294967295::UBIGINT], list_transform(range(1, octet_length(encode({text})) + 1), i -> {byte})), "
-        "(c, b) -> xor(c >> 8, (SELECT t FROM crc_table)[(xor(c, b) & 255::UBIGINT)::BIGINT + 1])), 4294967295::UBIGINT)"
+        f"xor(list_reduce(list_concat([4294967295::UBIGINT], list_transform(range(1, octet_length(encode({text})) + 1), lambda i: {byte})), "
+        "lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255::UBIGINT)::BIGINT + 1])), 4294967295::UBIGINT)"
     )
 
 
@@ -267,7 +267,7 @@ def oracle(buckets: int = BUCKETS, percent: int = PERCENT, min_words: int = MIN_
     words = rf"regexp_extract_all({lowered}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
     return f"""
 WITH crc_table AS (
-    SELECT list(list_reduce(list_concat([c], range(8)::UBIGINT[]), (x, _) -> xor(x >> 1, (x & 1) * 3988292384::UBIGINT)) ORDER BY c) AS t
+    SELECT list(list_reduce(list_concat([c], range(8)::UBIGINT[]), lambda x, k: xor(x >> 1, (x & 1) * 3988292384::UBIGINT)) ORDER BY c) AS crc
     FROM (SELECT i::UBIGINT AS c FROM range(256) r(i))
 ), docs AS (
     SELECT row_number() OVER () AS r, doc_id, coalesce(len({words}), 0) AS n, {words} AS w FROM documents
@@ -276,7 +276,7 @@ WITH crc_table AS (
 ), wanted AS (
     SELECT unnest({words}) AS word FROM benchmark
 ), spelled AS (
-    SELECT word, {_crc('word')} % {buckets} AS b FROM (SELECT word FROM found UNION SELECT word FROM wanted)
+    SELECT word, {_crc('word')} % {buckets} AS b FROM (SELECT word FROM found UNION SELECT word FROM wanted), crc_table
 ), s AS (
     SELECT b, count(*) AS s FROM found JOIN spelled USING (word) GROUP BY b
 ), t AS (
