@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsegrid.llm import html, langid, linededup, mixing, multiindex, pieces, quality, resampling, sharding, simhash, urls
+from pulsegrid.llm import html, langid, linededup, mixing, multiindex, pieces, quality, repair, resampling, sharding, simhash, urls
 from pulsegrid.llm.common import table, tokenizer_path
 from pulsegrid.llm.html_pages import PAGES
 
@@ -106,3 +106,8 @@ def inverted_multi_index(spark, sf):
 def target_resampling(spark, sf):
     found = resampling.importance(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
     return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op11_conversation_repair")
+def conversation_repair(spark, sf):
+    return repair.repair_conversations(table(spark, sf, "conversations"))
