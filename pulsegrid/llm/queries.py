@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsegrid.llm import html, langid, linededup, mixing, multiindex, pieces, quality, repair, resampling, sharding, simhash, urls
+from pulsegrid.llm import html, langid, linededup, mixing, multiindex, pieces, quality, repair, resampling, sharding, simhash, toxicity, urls
 from pulsegrid.llm.common import table, tokenizer_path
 from pulsegrid.llm.html_pages import PAGES
 
@@ -111,3 +111,8 @@ def target_resampling(spark, sf):
 @query("op11_conversation_repair")
 def conversation_repair(spark, sf):
     return repair.repair_conversations(table(spark, sf, "conversations"))
+
+
+@query("op12_toxicity_grammar")
+def toxicity_grammar(spark, sf):
+    return toxicity.judge_held_out(table(spark, sf, "documents"), table(spark, sf, "labels"))
