@@ -8,18 +8,20 @@ gain and zero, and every third of these has an extra file that is two samples sh
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from pulsegrid.catalog import feeds
 from pulsegrid.catalog.feeds import record_name, table
 from pulsegrid.catalog.registry import query, rounded
 from pulsegrid.operators import extraction as ex
-from pulsegrid.schema import BEATS, EXTRA_CHANNELS
+from pulsegrid.plans.ordered import with_ordinal
+from pulsegrid.schema import BEATS, CHANNELS, EXTRA_CHANNELS
 from pulsegrid.session import scratch_path
 from pulsegrid.sinks import exports
-from pulsegrid.sources import files, readers
+from pulsegrid.sources import files, paired, readers
 
 RECORDS = 40
+#: Most beats of one JSON array, so that no row or file holds a whole hot record.
+ARRAY_BEATS = 20_000
 #: gain and zero of the four extra channels, and the main one's.
 SCALES = ((20.0, 5), (40.0, -3), (10.0, 0), (50.0, 7))
 MAIN = (100.0, 2)
@@ -32,8 +34,7 @@ RAW = f"""ev AS (SELECT {feeds.RECORD_SQL.format(f'(user_id % {RECORDS})')} AS r
 
 def samples(spark, sf):
     number = F.pmod(F.col("user_id"), F.lit(RECORDS))
-    place = Window.partitionBy("number").orderBy("ts", "event_id")
-    rows = table(spark, sf, "events").withColumn("number", number).withColumn("sample_index", F.row_number().over(place) - 1)
+    rows = with_ordinal(table(spark, sf, "events").withColumn("number", number), ["number"], ["ts", "event_id"], "sample_index")
     return rows.select(
         record_name(F.col("number")).alias("recording_id"), "number", F.col("sample_index").cast("long").alias("sample_index"), "value", "event_type", "event_id",
         (F.col("number") % 4 < 2).alias("extra"), F.when(F.col("number") % 2 == 0, 10).otherwise(5).alias("rate"),
@@ -106,12 +107,14 @@ def availability_flags(spark, sf):
     f"""WITH {feeds.BEATS_SQL} SELECT recording_id, sample_index, recorded_at FROM beat""",
 )
 def read_json_array(spark, sf):
-    """One file for each record and day, each an array of beats."""
+    """Files of one record and day each, every one an array of up to ``ARRAY_BEATS`` beats."""
     root = scratch_path(spark, "arrays")
     row = F.struct("recording_id", "sample_index", F.date_format("recorded_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("recorded_at"))
     day = F.date_format("recorded_at", "yyyyMMdd")
-    arrays = feeds.beats(spark, sf).groupBy("recording_id", day.alias("day")).agg(F.to_json(F.collect_list(row)).alias("body"))
-    exports.write_files(arrays.withColumn("name", F.concat_ws("_", F.lit("qrs"), "recording_id", F.concat("day", F.lit(".json")))), root)
+    beats = with_ordinal(feeds.beats(spark, sf).withColumn("day", day), ["recording_id", "day"], ["sample_index", "recorded_at"])
+    part = F.floor(F.col("ordinal") / ARRAY_BEATS).cast("string").alias("part")
+    arrays = beats.groupBy("recording_id", "day", part).agg(F.to_json(F.collect_list(row)).alias("body"))
+    exports.write_files(arrays.withColumn("name", F.concat_ws("_", F.lit("qrs"), "recording_id", "day", F.concat("part", F.lit(".json")))), root)
     back = readers.read_json_array(spark, root, BEATS)
     return back.select("recording_id", "sample_index", F.col("recorded_at").cast("timestamp_ntz").alias("recorded_at"))
 
@@ -173,12 +176,26 @@ def process_records(spark, sf):
     root = write_raw(spark, sf)
     meta = ex.read_metadata_from_headers(spark, root)
     marks = samples(spark, sf).where("event_type IN ('error', 'click')")
-    place = Window.partitionBy("recording_id").orderBy("sample_index")
-    notes = marks.where("event_type = 'error'").select(
-        "recording_id", (F.row_number().over(place) - 1).alias("ordinal"), "sample_index", F.lit("A").alias("aux_note"), F.lit("N").alias("symbol")
+    notes = with_ordinal(marks.where("event_type = 'error'"), ["recording_id"], ["sample_index"]).select(
+        "recording_id", "ordinal", "sample_index", F.lit("A").alias("aux_note"), F.lit("N").alias("symbol")
     )
     beats = marks.where("event_type = 'click'").select("recording_id", "sample_index", F.col("sample_index").alias(ex.POSITION))
     out = ex.process(ex.raw_streams(spark, root, meta), ex.label_stream(notes, meta), ex.beat_stream(beats, meta), meta)
     sums = out["signals"].groupBy("recording_id").agg(F.sum("ecg_value").alias("main_sum"), F.sum("spo2").alias("spo2_sum"))
     stats = out["stats"].select("recording_id", "signal_rows", "apnea_events", "qrs_events", "window_rows", "annotated_window_rows")
     return rounded(stats.join(sums, "recording_id").join(out["report"].select("recording_id", "status"), "recording_id"), "main_sum", "spo2_sum", digits=4)
+
+
+@query(
+    "jn09_paired_files",
+    f"""WITH {RAW} SELECT recording_id, sample_index, round(round_even(value * 10, 0) / 100.0::DOUBLE, 6) AS ecg_value,
+       CASE WHEN extra THEN round(round_even(value * 2, 0) / 20.0::DOUBLE, 6) END AS resp_c, CASE WHEN extra THEN round(round_even(value * 4, 0) / 40.0::DOUBLE, 6) END AS resp_a,
+       CASE WHEN extra THEN round(round_even(value * 1, 0) / 10.0::DOUBLE, 6) END AS resp_n, CASE WHEN extra THEN round(round_even(value * 5, 0) / 50.0::DOUBLE, 6) END AS spo2
+       FROM ev JOIN rc USING (recording_id, number) WHERE sample_index < n - short""",
+)
+def paired_files(spark, sf):
+    """Main and extra sample files of all records, zipped by the data source."""
+    root = write_raw(spark, sf)
+    facts = ex.read_metadata_from_headers(spark, root).select(F.col("record_name").alias("recording_id"), "sampling_rate_hz", "has_respiration")
+    read = paired.read_paired(spark, paired.work_orders(spark, root, facts), range_bytes=100_000)
+    return rounded(read.select("recording_id", "sample_index", *CHANNELS), *CHANNELS)

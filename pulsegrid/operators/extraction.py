@@ -10,13 +10,12 @@ from pyspark.sql import functions as F
 from pulsegrid.functions import clean, text, timeline
 from pulsegrid.operators import aggregates as ag
 from pulsegrid.operators import filters as fl
-from pulsegrid.operators import joins as jn
 from pulsegrid.operators import sequence as sq
 from pulsegrid.operators import validation as va
 from pulsegrid.plans.joins import join_lookup
-from pulsegrid.schema import BASE_TIME, CHANNELS, EXTRA_CHANNELS, MAIN_CHANNEL, WINDOW_SECONDS
+from pulsegrid.schema import BASE_TIME, CHANNELS, WINDOW_SECONDS
 from pulsegrid.session import materialise, named, stored
-from pulsegrid.sources import files, readers
+from pulsegrid.sources import files, paired, readers
 
 KEY = "recording_id"
 POSITION = "file_position"
@@ -34,28 +33,14 @@ def raw_streams(spark: SparkSession, raw_dir: str, metadata: DataFrame, max_samp
     """Main and extra channels of all records on one sample index, with synthetic time.
 
     Values are in the units that the headers give for each channel; every row carries the rate
-    of its record.
+    of its record. Both files of a record are read by one task range by range, no sample is shuffled.
     """
     facts = metadata.select(
         F.col("record_name").alias(KEY), "sampling_rate_hz", "has_respiration"
     )
-    calibration = readers.calibrations(readers.read_headers(spark, raw_dir, "*.hea"))
     listed = files.list_files(spark, raw_dir, "*.dat")
     require_metadata(listed.select(F.regexp_replace(F.lower(files.stem(F.col("name"))), "r$", "").alias(KEY)), facts, "samples")
-    main = readers.read_samples(spark, raw_dir, [MAIN_CHANNEL], "[a-zA-Z][0-9][0-9].dat", max_samples, calibration)
-    main = main.withColumn(KEY, F.lower(KEY))
-    extra_files = listed.where(F.lower("name").rlike(r"^[a-z]\d\dr\.dat$"))
-    if extra_files.isEmpty():
-        joined = jn.align_channels(main, None)
-    else:
-        extra = readers.read_samples(spark, raw_dir, list(EXTRA_CHANNELS), "[a-zA-Z][0-9][0-9]r.dat", max_samples, calibration)
-        extra = extra.withColumn(KEY, F.regexp_replace(F.lower(KEY), "r$", ""))
-        having = extra_files.select(F.regexp_replace(F.lower(files.stem(F.col("name"))), "r$", "").alias(KEY))
-        allowed = facts.where("has_respiration").select(KEY)
-        having = having.join(allowed, KEY, "left_semi")
-        extra = join_lookup(extra, allowed, [KEY], "left_semi", computed=True)
-        joined = jn.align_channels(main, extra, expected=having)
-    placed = join_lookup(joined, facts, [KEY], "inner", computed=True)
+    placed = paired.read_paired(spark, paired.work_orders(spark, raw_dir, facts), high=max_samples)
     stamped = placed.withColumn("recorded_at", timeline.synth_ts(F.col("sample_index"), F.col("sampling_rate_hz")))
     return clean.clean_non_finite(clean.structural_nulls(stamped, F.col("has_respiration")))
 

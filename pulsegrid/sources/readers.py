@@ -107,13 +107,18 @@ def read_headers(spark: SparkSession, path: str, glob: str | None = None) -> Dat
     return parse_headers(texts)
 
 
-def _open(path: str):
-    """Input stream of a file on any file system that Arrow knows."""
+def file_system(path: str):
+    """File system that Arrow knows and the path inside it."""
     from pyarrow import fs
 
     if path.startswith("file:/") and not path.startswith("file://"):
         path = "file://" + path[len("file:") :]
-    system, inner = fs.FileSystem.from_uri(path)
+    return fs.FileSystem.from_uri(path)
+
+
+def _open(path: str):
+    """Input stream of a file on any file system that Arrow knows."""
+    system, inner = file_system(path)
     return system.open_input_file(inner)
 
 
