@@ -73,6 +73,11 @@ def validate_signals(
         F.min_by("_first.recorded_at", "_block").alias("first_timestamp"),
         F.max_by("_last.recorded_at", "_block").alias("last_timestamp"),
     )
+    return signal_report(measured, metadata, expected)
+
+
+def signal_report(measured: DataFrame, metadata: DataFrame, expected: DataFrame) -> DataFrame:
+    """Issues and warnings from the counts of each record, wherever they were counted (batch or stream)."""
     facts = metadata.select(KEY, "has_respiration").join(expected, KEY, "left").join(measured, KEY, "left")
     rows = F.coalesce("row_count", F.lit(0)).cast("long")
     missing = F.col("row_count").isNull()
@@ -120,6 +125,13 @@ def validate_annotations(
         F.min_by("recorded_at", order).alias("first_timestamp"),
         F.max_by("recorded_at", order).alias("last_timestamp"),
     )
+    return annotation_report(measured, metadata, expected_flag, index, present)
+
+
+def annotation_report(
+    measured: DataFrame, metadata: DataFrame, expected_flag: str, index: str, present: DataFrame | None = None
+) -> DataFrame:
+    """Issues and warnings of annotations from the counts of each record."""
     facts = metadata.select(KEY, F.col(expected_flag).alias("_want")).join(measured, KEY, "left")
     if present is None:
         facts = facts.withColumn("_there", F.lit(True))
