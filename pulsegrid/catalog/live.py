@@ -6,12 +6,14 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from pulsegrid.catalog import feeds
+from pulsegrid.catalog import feeds, raw, streams
 from pulsegrid.catalog.registry import query, rounded
 from pulsegrid.catalog.stores import all_frames
 from pulsegrid.operators import benchlog as bl
-from pulsegrid.session import scratch_path
-from pulsegrid.streaming import ingest, live
+from pulsegrid.operators import validation as va
+from pulsegrid.schema import EXTRA_CHANNELS
+from pulsegrid.session import scratch_path, stored
+from pulsegrid.streaming import checks, ingest, live, raw_source
 
 
 @query(
@@ -93,3 +95,58 @@ def resume(spark, sf):
         for name in frames
     ]
     return reduce(lambda a, b: a.unionByName(b), counted)
+
+
+def fed(spark, rows, part, n, schema=None):
+    """A stream of ``n`` micro-batches: the rows with part 0, 1, ..., written one after another."""
+    folder = scratch_path(spark, "feed")
+    held = stored(rows.withColumn("_part", part))
+    for i in range(n):
+        held.where(F.col("_part") == i).drop("_part").coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+@query("val01_stream_checks", f"WITH {streams.SIG}, {streams.META_SQL}, {streams.VSIG_SQL} SELECT * FROM vs")
+def stream_checks(spark, sf):
+    """The report of ``val01_validate_signals``, counted with state over three micro-batches."""
+    signals = feeds.clean_signals(spark, sf).select("recording_id", "row_id", "sample_index", "recorded_at", *EXTRA_CHANNELS)
+    bounds = signals.agg(F.max("row_id").alias("m")).first()["m"] or 0
+    stream = fed(spark, signals, F.least(F.floor(3 * F.col("row_id") / (bounds + 1)), F.lit(2)), 3)
+    target = scratch_path(spark, "checks")
+    counted = checks.record_checks(stream, "row_id", extra=F.coalesce(*EXTRA_CHANNELS).isNotNull())
+    checks.start(counted, target, scratch_path(spark, "checks-state")).awaitTermination()
+    meta = streams.record_metadata(spark, sf)
+    measured = checks.current_checks(spark, target)
+    stamps = {c: F.col(c).cast("timestamp_ntz") for c in ("first_timestamp", "last_timestamp")}
+    return streams.flat(va.signal_report(measured.withColumns(stamps), meta, streams.expectation(spark, sf, meta)))
+
+
+@query("ext01_live_segments", streams.EXT01_SQL)
+def live_segments(spark, sf):
+    """The segments of ``ext01_flagged_segments`` from windows that come in the order of a hash, in three micro-batches."""
+    scored = streams.scored_windows(spark, sf)
+    late = scored.withColumn("window_start_at", F.timestamp_add("MINUTE", F.col("minute_index").cast("int"), F.lit("2000-01-01").cast("timestamp")))
+    spread = F.pmod(F.xxhash64("recording_id", "minute_index"), F.lit(3))
+    stream = fed(spark, late, spread, 3)
+    target = scratch_path(spark, "segments")
+    made = checks.live_segments(stream, "100000 days", "2000-01-01")
+    checks.start(made, target, scratch_path(spark, "segments-state")).awaitTermination()
+    return checks.current_segments(spark, target)
+
+
+@query(
+    "st01_raw_folder",
+    f"""WITH {raw.RAW} SELECT recording_id, count(*) AS n, round(sum(round_even(value * 10, 0) / 100.0::DOUBLE), 4) AS main_sum,
+       round(sum(CASE WHEN extra THEN round_even(value * 5, 0) / 50.0::DOUBLE END), 4) AS spo2_sum
+       FROM ev JOIN rc USING (recording_id, number) WHERE sample_index < n - short GROUP BY 1""",
+)
+def raw_folder(spark, sf):
+    """A raw folder as a stream of complete records, run twice; the second run finds nothing new."""
+    root, ledger, target, state = raw.write_raw(spark, sf), *(scratch_path(spark, n) for n in ("ledger", "decoded", "decoded-state"))
+    for _ in range(2):
+        stream = raw_source.raw_stream(spark, root, ledger)
+        raw_source.start_decoding(stream, target, state).awaitTermination()
+    sums = spark.read.parquet(target).groupBy("recording_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("ecg_value").alias("main_sum"), F.sum("spo2").alias("spo2_sum")
+    )
+    return rounded(sums, "main_sum", "spo2_sum", digits=4)

@@ -293,21 +293,24 @@ def first_seen_subject(spark, sf):
     return sq.first_seen_subject(feeds.recordings(spark, sf), "row_id")
 
 
-@query(
-    "ext01_flagged_segments",
-    f"""WITH {WSUM_SQL}, f AS (SELECT recording_id, minute_index, max(ecg_value) AS score FROM d GROUP BY 1, 2
+EXT01_SQL = f"""WITH {WSUM_SQL}, f AS (SELECT recording_id, minute_index, max(ecg_value) AS score FROM d GROUP BY 1, 2
          HAVING max(ecg_value) > 80), g AS (SELECT *, minute_index - row_number() OVER
          (PARTITION BY recording_id ORDER BY minute_index) AS grp FROM f)
        SELECT recording_id, min(minute_index) AS start_minute, max(minute_index) AS end_minute, count(*) AS length,
-              max(score) AS max_score FROM g GROUP BY recording_id, grp""",
-)
-def flagged_segments(spark, sf):
+              max(score) AS max_score FROM g GROUP BY recording_id, grp"""
+
+
+def scored_windows(spark, sf):
     parts = ag.window_partials(feeds.clean_signals(spark, sf), ["ecg_value"], RATE, WIDTH)
-    scored = parts.select(
+    return parts.select(
         "recording_id", "minute_index", F.col("ecg_value__max").alias("score"),
         (F.col("ecg_value__max") > 80).cast("int").alias("y_pred"),
     )
-    return sq.flagged_segments(scored)
+
+
+@query("ext01_flagged_segments", EXT01_SQL)
+def flagged_segments(spark, sf):
+    return sq.flagged_segments(scored_windows(spark, sf))
 
 
 # ---------------------------------------------------------------- validation
