@@ -210,8 +210,14 @@ def language(model: LanguageModel | None, text: Column, spark: SparkSession) ->
 
 
 def without_unknown_language(docs: DataFrame) -> DataFrame:
-    """All columns of the documents whose language is known; learns from all labelled ones."""
-    found = language(learn(docs), F.col("text"), docs.sparkSession)
+    """All columns of the documents whose language is known; learns from all labelled ones.
+
+    Without a labelled row no language can be told, so no document is rejected.
+    """
+    model = learn(docs)
+    if model is None:
+        return docs
+    found = language(model, F.col("text"), docs.sparkSession)
     packed = docs.select(F.struct("*").alias("_pg_row"), found.alias("_pg_found"))
     return packed.where(F.col("_pg_found.lang_pred") != UNKNOWN).select("_pg_row.*")
 

@@ -105,16 +105,18 @@ def repeated_windows(docs: DataFrame, short: bool = False) -> DataFrame:
 def dedup_lines(docs: DataFrame, short: bool = False) -> DataFrame:
     """The documents with ``text`` edited and ``n_removed`` (lines taken out) added."""
     gone = repeated_windows(docs, short).select(F.col("doc_id").alias("_pg_id"), F.col("digest").alias("_pg_digest"), F.col("starts").alias("_pg_starts"))
-    same = docs["doc_id"].cast("long").eqNullSafe(gone["_pg_id"]) & (F.xxhash64(docs["text"]) == gone["_pg_digest"])
-    joined = docs.join(gone, same, "left")
+    packed = docs.select(F.struct("*").alias("_pg_row"), F.col("doc_id").cast("long").alias("_pg_key"), F.xxhash64("text").alias("_pg_sum"))
+    same = packed["_pg_key"].eqNullSafe(gone["_pg_id"]) & (packed["_pg_sum"] == gone["_pg_digest"])
+    joined = packed.join(gone, same, "left")
     hit = F.col("_pg_starts").isNotNull()
     edit = F.pandas_udf(_edited, "text string, n_removed int")
-    edited = joined.withColumn("_pg_edit", edit(F.when(hit, utf8("text")), F.col("_pg_starts")))
-    columns = {
-        "text": F.when(hit, F.col("_pg_edit.text")).otherwise(F.col("text")),
+    edited = joined.withColumn("_pg_edit", edit(F.when(hit, utf8(F.col("_pg_row.text"))), F.col("_pg_starts")))
+    made = {
+        "text": F.when(hit, F.col("_pg_edit.text")).otherwise(F.col("_pg_row.text")),
         "n_removed": F.when(hit, F.col("_pg_edit.n_removed")).otherwise(0).cast("int"),
     }
-    return edited.withColumns(columns).drop("_pg_id", "_pg_digest", "_pg_starts", "_pg_edit")
+    columns = list(dict.fromkeys([*docs.columns, "n_removed"]))
+    return edited.select(*[made.get(c, F.col(f"_pg_row.`{c}`")).alias(c) for c in columns])
 
 
 ORACLE = r"""

@@ -164,7 +164,7 @@ def _by_dim(batch: pa.RecordBatch, name: str) -> Iterator[tuple[int, pa.RecordBa
         yield int(dim), batch.filter(pa.array(dims == dim))
 
 
-_ROUTED = "label long, dim int, cell long, draw long, stored boolean, rep long, weight long, vec "
+_ROUTED = "dim int, cell long, draw long, stored boolean, rep long, weight long, vec "
 
 
 def _route(books):
@@ -282,13 +282,13 @@ def near_vectors(embeddings: DataFrame, threshold: float = 0.93) -> DataFrame:
     """vec_id, n_links, component_id, kept for every vector."""
     kind = "array<float>" if dict(embeddings.dtypes)["embedding"] == "array<float>" else "array<double>"
     rows = embeddings.select(
-        F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), F.col("embedding").cast(kind).alias("embedding")
+        F.col("vec_id").cast("long").alias("vec_id"), "label", F.col("embedding").cast(kind).alias("embedding")
     )
     usable = rows.where(_usable())
     classes = usable.groupBy("label", "embedding").agg(F.count(F.lit(1)).alias("weight"), F.min("vec_id").alias("first"))
     reps = written(classes.withColumn("rep", F.monotonically_increasing_id()).withColumnRenamed("embedding", "vec"), "vectors")
     books = rows.sparkSession.sparkContext.broadcast(_fit(reps, threshold))
-    routed = written(reps.select("rep", "label", "weight", "vec").mapInArrow(_route(books), _ROUTED + kind), "index-rows")
+    routed = written(reps.select("rep", "label", "weight", "vec").mapInArrow(_route(books), f"label {reps.schema['label'].dataType.simpleString()}, {_ROUTED}{kind}"), "index-rows")
     dealt = _dealt(routed)
     key = ["label", "dim", "cell", "chunk", "salt"]
     ordered = dealt.repartition(*key).sortWithinPartitions(*key, F.desc("stored"))

@@ -109,13 +109,24 @@ def score(rule: str) -> Column:
     return F.coalesce(F.try_divide(F.col(part).cast("double"), F.col(whole).cast("double")), F.lit(0.0))
 
 
+def _terms(k: int, n: int, p: float, step: int) -> float:
+    """Sum of the binomial probabilities of k, k + step, ..., going away from the mean, until they no longer count."""
+    term = math.exp(math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(p) + (n - k) * math.log1p(-p))
+    total = 0.0
+    while 0 <= k <= n and term > total * 1e-17:
+        total += term
+        term *= k / (n - k + 1) * (1 - p) / p if step < 0 else (n - k) / (k + 1) * p / (1 - p)
+        k += step
+    return total
+
+
 def binomial_cdf(k: int, n: int, p: float) -> float:
-    """P(Bin(n, p) <= k), summed exactly in logarithms."""
+    """P(Bin(n, p) <= k): the tail on k's side of the mean, in about sqrt(n) steps."""
     if k >= n or p <= 0:
         return 1.0
-    i = np.arange(k + 1)
-    logs = np.array([math.lgamma(n + 1) - math.lgamma(j + 1) - math.lgamma(n - j + 1) for j in i])
-    return float(np.exp(logs + i * math.log(p) + (n - i) * math.log1p(-p)).sum())
+    if k < 0 or p >= 1:
+        return 0.0
+    return _terms(k, n, p, -1) if k <= n * p else 1.0 - _terms(k + 1, n, p, 1)
 
 
 def is_safe(rejected: int, good: int, rate: float, level: float) -> bool:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pulsegrid.llm import html, langid, linededup, mixing, multiindex, pieces, quality, repair, resampling, sharding, simhash, toxicity, urls
 from pulsegrid.llm.common import table, tokenizer_path
@@ -40,16 +42,23 @@ URL_RULES = (
     ("block", "net/es/"),
     ("block", "net/fr/"),
 )
-#: Names of unwanted sites, listed under each top-level domain of the corpus.
-LISTED_SITES = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
-LISTED_UNDER = ("example.com", "example.net", "example.org")
+#: Hosts blocked where no rule fits, unless PULSEGRID_BLOCKED_HOSTS names a text file (any path that Spark reads, one host a line). These
+#: names are the unwanted sites of the synthetic pages, under each of their domains: a stand-in for a list that a user brings.
+BLOCKED_SITES = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+BLOCKED_UNDER = ("example.com", "example.net", "example.org")
+
+
+def blocked_hosts(spark):
+    """Column host: the given list, whatever its length."""
+    path = os.environ.get("PULSEGRID_BLOCKED_HOSTS")
+    if path:
+        return spark.read.text(path).select(F.trim("value").alias("host")).where("host <> ''")
+    return spark.createDataFrame([(f"{name}.{under}",) for name in BLOCKED_SITES for under in BLOCKED_UNDER], "host string")
 
 
 @query("op10_url_cascade")
 def url_cascade(spark, sf):
-    sites = [(f"{name}.{under}",) for name in LISTED_SITES for under in LISTED_UNDER]
-    listed = spark.createDataFrame(sites, "host string")
-    return urls.judge_urls(table(spark, sf, "pages"), URL_RULES, listed)
+    return urls.judge_urls(table(spark, sf, "pages"), URL_RULES, blocked_hosts(spark))
 
 
 @query("op7_simhash_trees")

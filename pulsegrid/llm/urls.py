@@ -31,6 +31,8 @@ from pulsegrid.llm.common import written
 MAX_LEVELS = 64
 #: Largest filter that is sent to the executors.
 MAX_FILTER_BYTES = 256 << 20
+#: Words of 64 bits in a block that is sent to the driver: 2 ** 13, or 64 kB.
+_BLOCK_SHIFT = 13
 
 
 @dataclass
@@ -76,13 +78,28 @@ def _filter(keys: DataFrame, n: int, rate: float, depth: int) -> tuple[np.ndarra
     def bits_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             at = np.unique(positions(size, probes, depth, batch["_a"].to_numpy(), batch["_b"].to_numpy()))
-            yield pd.DataFrame({"byte": (at >> np.uint64(3)).astype(np.int64), "bit": (1 << (at & np.uint64(7)).astype(np.int64))})
-
-    rows = keys.mapInPandas(bits_of, "byte long, bit long").groupBy("byte").agg(F.bit_or("bit").alias("bits"))
-    bits = np.zeros((size + 7) // 8, dtype=np.uint8)
-    found = rows.toPandas()
-    bits[found["byte"].to_numpy(dtype=np.int64)] = found["bits"].to_numpy(dtype=np.int64).astype(np.uint8)
-    return bits, size, probes
+            word, first = np.unique(at >> np.uint64(6), return_index=True)
+            bit = np.uint64(1) << (at & np.uint64(63))
+            if len(at):
+                yield pd.DataFrame({"word": word.astype(np.int64), "bits": np.bitwise_or.reduceat(bit, first).astype("<u8").view(np.int64)})
+
+    words = keys.mapInPandas(bits_of, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    blocks = words.withColumn("block", F.shiftright("word", _BLOCK_SHIFT)).repartition("block").mapInPandas(_packed_blocks, "block long, bits binary")
+    bits = np.zeros(((size + 63) // 64 + (1 << _BLOCK_SHIFT)) * 8, dtype=np.uint8)
+    width = 8 << _BLOCK_SHIFT
+    for block in blocks.toLocalIterator():  # as many bytes as the filter has
+        at = block["block"] * width
+        bits[at : at + width] |= np.frombuffer(block["bits"], dtype=np.uint8)
+    return bits[: (size + 7) // 8], size, probes
+
+
+def _packed_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Words of bits, packed into blocks of 64 kB; a task may send a block in several parts."""
+    for batch in batches:
+        for block, part in batch.groupby("block"):
+            held = np.zeros(1 << _BLOCK_SHIFT, dtype="<i8")
+            held[part["word"].to_numpy() & ((1 << _BLOCK_SHIFT) - 1)] = part["bits"].to_numpy()
+            yield pd.DataFrame({"block": [block], "bits": [held.tobytes()]})
 
 
 def build_cascade(listed: DataFrame, universe: DataFrame) -> Cascade:

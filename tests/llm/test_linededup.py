@@ -8,18 +8,19 @@ from pulsegrid.llm.queries import QUERIES, SQL
 SPACE = " \t\n\x0b\x0c\r"
 
 
-def brute(rows):
-    """rows of (doc_id, text): every window against all windows before it."""
+def brute(rows, short=False):
+    """rows of (doc_id, text): every window against all windows before it; ``short``: a text of one or two lines is one window."""
     order = sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0))
     seen, out = {}, {}
     for key in order:
         lines = (key[1] or "").split("\n")
         solid = [i for i, x in enumerate(lines) if x.strip(SPACE)]
         gone = set()
-        for k in range(len(solid) - 2):
-            window = tuple(lines[i].strip(SPACE) for i in solid[k : k + 3])
+        size = min(3, len(solid)) if short and solid else 3
+        for k in range(len(solid) - size + 1):
+            window = tuple(lines[i].strip(SPACE) for i in solid[k : k + size])
             if seen.setdefault(window, (key, k)) != (key, k):
-                gone |= set(range(solid[k], solid[k + 2] + 1))
+                gone |= set(range(solid[k], solid[k + size - 1] + 1))
         rest = [x for i, x in enumerate(lines) if i not in gone]
         text = key[1] if not gone else "\n".join(rest) if any(x.strip(SPACE) for x in rest) else ""
         out[key] = text
@@ -45,6 +46,14 @@ def test_equals_brute_force(spark, case):
     assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == brute(rows)
 
 
+def test_columns_named_like_our_own_stay(spark):
+    df = spark.createDataFrame([(1, "a\nb\nc"), (2, "a\nb\nc")], "doc_id long, text string")
+    df = df.withColumns({n: F.col("doc_id") for n in ("_pg_starts", "_pg_id", "_pg_edit", "_pg_row", "a.b")})
+    got = linededup.dedup_lines(df)
+    assert got.columns == [*df.columns, "n_removed"]
+    assert {(r.doc_id, r.text, r._pg_starts, r["a.b"]) for r in got.collect()} == {(1, "a\nb\nc", 1, 1), (2, "", 2, 2)}
+
+
 def test_query_equals_sql(spark):
     sf = "/root/testdata/sf0.001"
     assert compare(spark, duck(sf), sf, "op4", QUERIES["op4_line_windows"], SQL["op4_line_windows"]) is None
@@ -75,9 +84,11 @@ def test_short_query_equals_sql_and_edits_more(spark):
     assert gone["op4_line_windows_short"] > gone["op4_line_windows"]
 
 
-def test_pipeline_drops_short_copies_in_the_stage_after_line_dedup(spark):
+def test_pipeline_empties_short_copies_and_keeps_one_empty_document(spark):
     from corpus_pipeline import line_dedup, near_dedup
 
     rows = [(1, "one short line of words"), (2, "one short line of words"), (3, "two\nlines"), (4, "two\nlines"), (5, "something else here")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert sorted(r.doc_id for r in near_dedup(spark, line_dedup(spark, df, ""), "").collect()) == [1, 3, 5]
+    edited = line_dedup(spark, df, "")
+    assert {r.doc_id: r.text for r in edited.collect()} == {1: rows[0][1], 2: "", 3: rows[2][1], 4: "", 5: rows[4][1]}
+    assert sorted(r.doc_id for r in near_dedup(spark, edited, "").collect()) == [1, 2, 3, 5]

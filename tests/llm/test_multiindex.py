@@ -93,3 +93,10 @@ def test_query_recall(spark):
     got = QUERIES["op1_inverted_multi_index"](spark, sf).collect()
     assert len(got) == len(d)
     assert all(r.n_links == want[r.vec_id] and r.component_id == roots.get(r.vec_id, r.vec_id) for r in got)
+
+
+@pytest.mark.parametrize("kind,labels", [("string", ["x", "x", "y", None]), ("double", [1.2, 1.2, 1.7, None]), ("int", [1, 1, 2, None])])
+def test_labels_are_compared_as_they_are(spark, kind, labels):
+    rows = [(i, [1.0, 2.0, 3.0], label) for i, label in enumerate(labels)]
+    got = multiindex.near_vectors(spark.createDataFrame(rows, f"vec_id long, embedding array<double>, label {kind}")).orderBy("vec_id").collect()
+    assert [(r.n_links, r.component_id) for r in got] == [(1, 0), (1, 0), (0, 2), (0, 3)]

@@ -24,7 +24,7 @@ def test_stage_order():
 def test_whole_pipeline_equals_brute_force_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
     known = [r for r in docs if langid.has_letter(r.text)]
-    lines = dict(brute_lines([(r.doc_id, r.text) for r in known]))
+    lines = dict(brute_lines([(r.doc_id, r.text) for r in known], short=True))
     groups = reference_groups(list(lines.items()))
     stay = {d for d, _, c in groups if d == c}
     mixed_in = spark.createDataFrame([(r.doc_id, lines[r.doc_id], r.source) for r in known if r.doc_id in stay], "doc_id long, text string, source string")
@@ -70,3 +70,8 @@ def test_stages_take_odd_and_empty_tables(spark, name):
     if name == "mix_sources":
         assert set(ids) == {r[0] for r in ROWS}
     assert stage(name)(spark, docs.limit(0), "").count() == 0
+
+
+def test_language_stage_keeps_what_it_cannot_judge(spark):
+    docs = spark.createDataFrame([(1, "one text"), (2, "ein Text"), (3, "12")], "doc_id long, text string").withColumn("lang", F.lit(None).cast("string"))
+    assert sorted(r.doc_id for r in stage("language_id")(spark, docs, "").collect()) == [1, 2, 3]

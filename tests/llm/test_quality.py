@@ -52,6 +52,54 @@ def test_exact_bound():
     assert not quality.is_safe(0, 0, 0.5, 0.5)
 
 
+def test_binomial_tails_stop_early():
+    import time
+
+    start = time.time()
+    for k, n, p in ((0, 5, 0.3), (3, 5, 0.3), (5, 5, 0.3), (40, 100, 0.5), (60, 100, 0.5), (90, 100, 0.5)):
+        want = sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1))
+        assert quality.binomial_cdf(k, n, p) == pytest.approx(want, rel=1e-9)
+    assert 0.4 < quality.binomial_cdf(1_666_000, 100_000_000, 0.01666) < 0.6 and quality.binomial_cdf(0, 10**8, 0.5) == 0.0
+    assert time.time() - start < 2
+
+
+def test_verdicts_equal_a_brute_force_fit(spark):
+    """sf0.1, where cutoffs are on: every (rule, stratum) by a plain scan of all labelled documents."""
+    from pulsegrid.llm.queries import QUERIES
+
+    sf = "/root/testdata/sf0.1"
+    rows = QUERIES["op9_risk_controlled_rules"](spark, sf).collect()
+    lines = {r.doc_id: sum(1 for x in (r.text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect() if r.quality is not None}
+    share = lambda a, b: a / b if b else 0.0
+    scores = {r.doc_id: {"symbols": share(r.n_symbols, r.n_words), "dup_lines": share(r.n_dup_lines, lines[r.doc_id]), "repeats": share(r.n_repeat_words, r.n_words)} for r in rows}
+    held = [(r.doc_id, int(r.n_words >= 300)) for r in rows if not r.base_failed and r.doc_id in labels]
+    limit = {}
+    for rule, cutoffs in quality.CUTOFFS.items():
+        for at in (0, 1):
+            good = [scores[d][rule] for d, s in held if s == at and labels[d]]
+            bad = [scores[d][rule] for d, s in held if s == at and not labels[d]]
+            gains = {}
+            for c in reversed(cutoffs):
+                k = sum(x > c for x in good)
+                p = 0.05 / 3
+                tail = sum(math.exp(math.lgamma(len(good) + 1) - math.lgamma(i + 1) - math.lgamma(len(good) - i + 1) + i * math.log(p) + (len(good) - i) * math.log1p(-p)) for i in range(k + 1))
+                if not good or tail > 0.05 / 6:
+                    break
+                gains[c] = sum(x > c for x in bad) - 10 * k
+            best = max(gains.values(), default=0)
+            if best > 0:
+                equal = sorted(c for c, g in gains.items() if g == best)
+                limit[rule, at] = equal[len(equal) // 2]
+    assert limit
+    rejected = 0
+    for r in rows:
+        over = any(scores[r.doc_id][rule] > c for (rule, at), c in limit.items() if at == int(r.n_words >= 300))
+        assert r.kept == (not r.base_failed and not over)
+        rejected += not r.base_failed and over
+    assert rejected > 100
+
+
 def labelled(spark, n_good, n_bad, good_symbols=0):
     words = [f"w{i}" for i in range(60)]
     docs = [(i, " ".join(words) + (" ###" * 30 if i < good_symbols else "")) for i in range(n_good)]

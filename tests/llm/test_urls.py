@@ -6,10 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulsegrid.llm import urls
-from pulsegrid.llm.queries import LISTED_SITES, LISTED_UNDER, URL_RULES
+from pulsegrid.llm.queries import BLOCKED_SITES, BLOCKED_UNDER, URL_RULES
 
 SF = "/root/testdata/sf0.01"
-LISTED = [f"{s}.{u}" for s in LISTED_SITES for u in LISTED_UNDER]
+LISTED = [f"{s}.{u}" for s in BLOCKED_SITES for u in BLOCKED_UNDER]
 
 
 def parts(url):
@@ -73,3 +73,18 @@ def test_cascade_is_exact_over_its_universe(spark, n_listed, n_rest):
     assert np.array_equal(found, both["key"].isin(keys[:n_listed]).to_numpy())
     bits = sum(size for _, size, _ in cascade.levels)
     assert bits <= 64 * 8 + 40 * n_listed  # grows with the list, not with the universe
+
+
+def test_query_takes_a_list_of_any_length(spark, tmp_path, monkeypatch):
+    """A file of 100,000 hosts, some of them the pages'."""
+    from pulsegrid.llm.queries import QUERIES
+
+    pages = {r.page_id: r.url for r in spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url").collect()}
+    hosts = sorted({parts(u)[0] for u in pages.values()} - {""})
+    mine = hosts[::3]
+    (tmp_path / "hosts.txt").write_text("\n".join([*mine, *(f"h{i}.blocked.test" for i in range(100_000)), "", " "]))
+    monkeypatch.setenv("PULSEGRID_BLOCKED_HOSTS", f"file://{tmp_path}/hosts.txt")
+    rows = QUERIES["op10_url_cascade"](spark, SF).collect()
+    want = {i: brute(u, listed=mine) for i, u in pages.items()}
+    assert all((r.host, r.path, r.rule, r.verdict) == want[r.page_id] for r in rows)
+    assert len({r.verdict for r in rows if r.rule is None}) == 2
