@@ -23,7 +23,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    edited = linededup.dedup_lines(docs.withColumn("n_removed", F.lit(0)))
+    edited = linededup.dedup_lines(docs.withColumn("n_removed", F.lit(0)), short=True)
     if "n_chars" in docs.columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
         edited = edited.withColumn("n_chars", F.when(F.col("n_removed") > 0, length).otherwise(F.col("n_chars")))
