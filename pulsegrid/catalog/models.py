@@ -1,7 +1,8 @@
 """Queries that fit or apply a model.
 
-What a fit returns depends on the library's optimiser, so the fitted models answer with facts that
-SQL can state: which windows they judge, and that their outputs keep the rules they must keep.
+What a fit returns depends on the library's optimiser. Each fitted model has two queries: one returns its results for every
+window and has no SQL (a brute-force version in the tests stands for it), the other returns facts that SQL can state: which
+windows are judged, and that the outputs keep the rules they must keep.
 """
 
 from __future__ import annotations
@@ -75,6 +76,42 @@ def detect_with_pca(spark, sf):
     return n.join(m, "model_split").select("model_split", "n", "positives", agree.alias("counts_agree"))
 
 
+@query("ml03_window_losses")
+def window_losses(spark, sf):
+    """Loss of every window after reconstruction from 16 components, and whether it is over the threshold."""
+    x = tensor_windows(spark, sf).select("window_id", "recording_id", "y", "model_split", "x")
+    scored = stored(le.pca_reconstruct(x, is_fit_row()).select("window_id", "recording_id", "y", "model_split", ar.weighted_mse(F.col("x"), F.col("x_hat")).alias("loss")), "losses")
+    return rounded(me.flag_scores(scored, fitted_threshold(scored), "loss").select("window_id", "model_split", "y", "loss", "y_pred"), "loss")
+
+
+@query("ml03_detector_metrics")
+def detector_metrics(spark, sf):
+    """Metrics of that detector on validation and test windows."""
+    judged = window_losses(spark, sf).where(F.col("model_split").isin("val", "test"))
+    return me.metric_row(judged, ["model_split"], "y", "y_pred", "loss")
+
+
+@query("ml04_window_clusters")
+def window_clusters(spark, sf):
+    """Cluster, flag and score of every window."""
+    found = le.feature_kmeans(tensor_windows(spark, sf), is_train())
+    return rounded(found.select("window_id", "y", "is_train", "cluster", "y_pred", "score"), "score")
+
+
+@query("ml05_window_predictions")
+def window_predictions(spark, sf):
+    """Score of every window, the threshold chosen on validation windows, and the flag."""
+    scored, tau = le.supervised_baseline(tensor_windows(spark, sf), is_train(), F.col("model_split") == "val")
+    return rounded(scored.select("window_id", "y", "is_train", "is_val", "score", F.lit(float(tau)).alias("tau"), "y_pred"), "score")
+
+
+@query("ml06_window_clusters")
+def dtw_window_clusters(spark, sf):
+    """DTW cluster, distance to its centre and flag of every window."""
+    found = le.dtw_cluster(tensor_windows(spark, sf), is_train(), ["window_id"])
+    return rounded(found.select("window_id", "y", "is_train", "cluster", "distance", "y_pred"), "distance")
+
+
 def facts(scored, keys, agrees):
     return scored.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum("y").cast("long").alias("positives"), F.bool_and(agrees).alias("consistent"))
 

@@ -289,6 +289,17 @@ def storage_report(spark, sf):
     )
 
 
+@query("snk09_storage_bytes")
+def storage_bytes(spark, sf):
+    """Bytes before and after compaction, files and ratio of each record table and of all."""
+    before, after = {}, {}
+    for name in tables.RECORD_TABLES:
+        before[name], after[name] = scratch_path(spark, "plain"), scratch_path(spark, "compact")
+        all_frames(spark, sf)[name].write.option("compression", "none").parquet(before[name])
+        tables.compact_layout(spark, before[name], after[name])
+    return tables.storage_report(spark, before, after)
+
+
 @query(
     "snk10_export",
     f"""WITH {REC}, {SUB} SELECT name, "mode", n FROM (VALUES ('recordings', 'schema'), ('recordings', 'data'), ('subjects', 'schema'),

@@ -138,17 +138,19 @@ def supervised_baseline(
     return me.flag_scores(scored, tau, "score", inclusive=True), tau
 
 
-def dtw_distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def dtw_distance(a: np.ndarray, b: np.ndarray, limit: np.ndarray | None = None) -> np.ndarray:
     """Dynamic time warping distance of each row of ``a`` to the sequence ``b``.
 
     Two rows of the table are kept, with the windows of a batch along the last axis: memory is
-    2 x (steps + 1) numbers for each window.
+    2 x (steps + 1) numbers for each window. ``limit`` gives a squared distance for each window: one
+    whose whole table row is over it is abandoned (its distance is infinite).
     """
     n, m = a.shape[1], len(b)
     steps = np.ascontiguousarray(a.T)
     above = np.full((m + 1, len(a)), np.inf)
     above[0] = 0.0
     row = np.empty_like(above)
+    alive = None if limit is None else np.arange(len(a))
     for i in range(n):
         row[0] = np.inf
         for j in range(m):
@@ -156,7 +158,84 @@ def dtw_distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
             np.minimum(row[j + 1], row[j], out=row[j + 1])
             row[j + 1] += (steps[i] - b[j]) ** 2
         above, row = row, above
-    return np.sqrt(above[m])
+        if alive is not None and i % 8 == 7:
+            keep = above[1:].min(axis=0) <= limit[alive]
+            if not keep.all():
+                alive, steps, above = alive[keep], steps[:, keep], np.ascontiguousarray(above[:, keep])
+                row = np.empty_like(above)
+    if alive is None:
+        return np.sqrt(above[m])
+    out = np.full(len(a), np.inf)
+    out[alive] = np.sqrt(above[m])
+    return out
+
+
+def dtw_lower_bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Squared distance that the warping distance of each row of ``a`` to ``b`` cannot be under.
+
+    Every step has a partner inside the envelope [min b, max b]; first and last steps are partners of each other.
+    """
+    outside = np.maximum(a - b.max(), 0) + np.maximum(b.min() - a, 0)
+    squares = outside**2
+    ends = (a[:, 0] - b[0]) ** 2
+    if a.shape[1] > 1 or len(b) > 1:
+        ends = ends + (a[:, -1] - b[-1]) ** 2
+    inner = squares[:, 1:-1].sum(axis=1) if a.shape[1] > 2 else 0.0
+    return np.maximum(squares.sum(axis=1), ends + inner)
+
+
+def nearest_centre(a: np.ndarray, centres: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray, int]:
+    """Nearest centre (the first of equals) and its distance for each row, and how many pairs were left out.
+
+    Centres are tried in the order of their lower bounds; a pair is left out if the bound is over the best distance so far, and given
+    up early if its table is.
+    """
+    bounds = np.stack([dtw_lower_bound(a, c) for c in centres], axis=1)
+    order = np.argsort(bounds, axis=1, kind="stable")
+    best = np.full(len(a), np.inf)
+    at = np.zeros(len(a), dtype=np.int64)
+    skipped = 0
+    for turn in range(len(centres)):
+        for c in range(len(centres)):
+            rows = np.flatnonzero(order[:, turn] == c)
+            open_rows = rows[bounds[rows, c] <= best[rows] ** 2 * (1 + 1e-12)]
+            skipped += len(rows) - len(open_rows)
+            if not len(open_rows):
+                continue
+            found = dtw_distance(a[open_rows], centres[c], best[open_rows] ** 2 * (1 + 1e-12))
+            better = (found < best[open_rows]) | ((found == best[open_rows]) & (c < at[open_rows]))
+            best[open_rows[better]], at[open_rows[better]] = found[better], c
+    return at, best, skipped
+
+
+def dtw_alignment(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sum and number of the steps of all rows aligned with each step of ``b``, and each row's squared distance.
+
+    The whole table is kept, so callers pass a bounded number of rows; diagonal steps are taken first where several are best.
+    """
+    n, s, m = len(a), a.shape[1], len(b)
+    table = np.full((s + 1, m + 1, n), np.inf)
+    table[0, 0] = 0.0
+    for i in range(1, s + 1):
+        for j in range(1, m + 1):
+            before = np.minimum(np.minimum(table[i - 1, j - 1], table[i - 1, j]), table[i, j - 1])
+            table[i, j] = before + (a[:, i - 1] - b[j - 1]) ** 2
+    sums, counts = np.zeros(m), np.zeros(m, dtype=np.int64)
+    rows = np.arange(n)
+    i, j = np.full(n, s), np.full(n, m)
+    while len(rows):
+        np.add.at(sums, j - 1, a[rows, i - 1])
+        np.add.at(counts, j - 1, 1)
+        options = np.stack([table[i - 1, j - 1, rows], table[i - 1, j, rows], table[i, j - 1, rows]])
+        step = options.argmin(axis=0)
+        i, j = i - (step != 2), j - (step != 1)
+        going = (i > 0) & (j > 0)
+        rows, i, j = rows[going], i[going], j[going]
+    return sums, counts, table[s, m]
+
+
+def _sequences(values: pd.Series) -> np.ndarray:
+    return np.stack([np.asarray(v, dtype="float64") for v in values])
 
 
 def nearest_by_dtw(df: DataFrame, centres: Sequence[Sequence[float]], sequence: str = "sequence") -> DataFrame:
@@ -167,21 +246,81 @@ def nearest_by_dtw(df: DataFrame, centres: Sequence[Sequence[float]], sequence:
     def nearest(s: pd.Series) -> pd.DataFrame:
         if len(s) == 0:
             return pd.DataFrame({"cluster": pd.Series(dtype="int32"), "distance": pd.Series(dtype="float64")})
-        rows = np.stack([np.asarray(v, dtype="float64") for v in s])
-        d = np.stack([dtw_distance(rows, c) for c in fixed], axis=1)
-        at = d.argmin(axis=1)
-        return pd.DataFrame({"cluster": at.astype("int32"), "distance": d[np.arange(len(d)), at]})
+        at, distance, _ = nearest_centre(_sequences(s), fixed)
+        return pd.DataFrame({"cluster": at.astype("int32"), "distance": distance})
 
     return df.withColumn("_n", nearest(F.col(sequence))).select("*", "_n.cluster", "_n.distance").drop("_n")
 
 
+#: Windows whose warping tables are held at once.
+_TABLES = 64
+
+
+def dtw_round(df: DataFrame, centres: Sequence[Sequence[float]], sequence: str = "sequence") -> tuple[list[list[float]], float, float]:
+    """One round of barycentre averaging: new centres, inertia of the old ones, share of pairs left out by bounds.
+
+    A task adds up its own windows (steps x centres numbers), so nothing else is moved. A centre without windows stays as it is.
+    """
+    fixed = [np.asarray(c, dtype="float64") for c in centres]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums = [np.zeros(len(c)) for c in fixed]
+        counts = [np.zeros(len(c), dtype=np.int64) for c in fixed]
+        inertia, skipped, pairs = 0.0, 0, 0
+        for batch in batches:
+            if len(batch) == 0:
+                continue
+            rows = _sequences(batch[sequence])
+            at, _, left_out = nearest_centre(rows, fixed)
+            skipped, pairs = skipped + left_out, pairs + len(rows) * len(fixed)
+            for c in range(len(fixed)):
+                mine = rows[at == c]
+                for low in range(0, len(mine), _TABLES):
+                    total, number, squared = dtw_alignment(mine[low : low + _TABLES], fixed[c])
+                    sums[c] += total
+                    counts[c] += number
+                    inertia += float(squared.sum())
+        yield pd.DataFrame(
+            [(c, t, sums[c][t], counts[c][t], 0.0) for c in range(len(fixed)) for t in range(len(fixed[c]))]
+            + [(-1, 0, float(skipped), pairs, inertia)],
+            columns=["cluster", "t", "total", "n", "inertia"],
+        )
+
+    made = df.select(sequence).mapInPandas(run, "cluster int, t int, total double, n long, inertia double")
+    found = made.groupBy("cluster", "t").agg(F.sum("total").alias("total"), F.sum("n").alias("n"), F.sum("inertia").alias("inertia"))
+    fresh, inertia, skipped = [list(map(float, c)) for c in fixed], 0.0, 0.0
+    for r in found.collect():
+        if r["cluster"] < 0:
+            inertia, skipped = r["inertia"], r["total"] / max(1, r["n"])
+        elif r["n"]:
+            fresh[r["cluster"]][r["t"]] = r["total"] / r["n"]
+    return fresh, inertia, skipped
+
+
+def fit_dtw_centres(df: DataFrame, centres: Sequence[Sequence[float]], rounds: int = 10, sequence: str = "sequence") -> tuple[list[list[float]], list[float], list[float]]:
+    """Centres after barycentre averaging, the inertia before every round and the share of pairs that bounds left out.
+
+    Inertia never rises: windows go to their nearest centre, and the mean of what is aligned with a step is the best value of this step
+    for that alignment.
+    """
+    current, inertias, shares = [list(map(float, c)) for c in centres], [], []
+    for _ in range(rounds):
+        fresh, inertia, share = dtw_round(df, current, sequence)
+        inertias.append(inertia)
+        shares.append(share)
+        if np.allclose(np.concatenate(fresh), np.concatenate(current), atol=1e-9):
+            break
+        current = fresh
+    return current, inertias, shares
+
+
 def dtw_cluster(
     df: DataFrame, train: Column, order: Sequence[str], x: str = "x", y: str = "y", fit_limit: int | None = None, rounds: int = 10,
     keys: Sequence[str] = ("window_id", "recording_id"),
 ) -> DataFrame:
     """Two DTW clusters of channel 0: centres from the training windows, all windows assigned.
 
-    Centres are refined on Spark (assign, then mean per cluster and step) over all training
+    Centres begin as two windows far from each other and are refined by barycentre averaging over all training
     windows; ``fit_limit`` takes only the first ones in order.
     """
     rows = stored(
@@ -195,18 +334,7 @@ def dtw_cluster(
         raise ValueError("no training windows to fit clusters on")
     distant = nearest_by_dtw(sample, [mean]).orderBy(F.col("distance").desc(), *order).first()
     far = nearest_by_dtw(sample, [list(distant["sequence"])]).orderBy(F.col("distance").desc(), *order).first()
-    centres = [list(distant["sequence"]), list(far["sequence"])]
-    for _ in range(rounds):
-        assigned = nearest_by_dtw(sample, centres)
-        steps = assigned.select("cluster", F.posexplode("sequence").alias("t", "v")).groupBy("cluster", "t").agg(
-            F.avg("v").alias("m")
-        )
-        fresh = [list(c) for c in centres]
-        for r in steps.collect():
-            fresh[r["cluster"]][r["t"]] = r["m"]
-        if np.allclose(fresh, centres, atol=1e-9):
-            break
-        centres = fresh
+    centres, _, _ = fit_dtw_centres(sample, [list(distant["sequence"]), list(far["sequence"])], rounds)
     rates = me.cluster_rates(nearest_by_dtw(sample, centres), (0, 1), "cluster", y)
     anomalous = rates.where("anomalous").first()["cluster"]
     out = nearest_by_dtw(rows, centres)
