@@ -31,8 +31,6 @@ from pulsegrid.llm.common import written
 MAX_LEVELS = 64
 #: Largest filter that is sent to the executors.
 MAX_FILTER_BYTES = 256 << 20
-#: Words of 64 bits in a block that is sent to the driver: 2 ** 13, or 64 kB.
-_BLOCK_SHIFT = 13
 
 
 @dataclass
@@ -69,7 +67,7 @@ def probe(bits: np.ndarray, size: int, probes: int, depth: int, a: np.ndarray, b
 
 
 def _filter(keys: DataFrame, n: int, rate: float, depth: int) -> tuple[np.ndarray, int, int]:
-    """A Bloom filter of ``n`` keys; tasks send the distinct bytes they set, not the keys."""
+    """A Bloom filter of ``n`` keys; tasks send the 64-bit words they set, not the keys."""
     size = max(64, math.ceil(-n * math.log(rate) / math.log(2) ** 2))
     probes = max(1, round(size / n * math.log(2)))
     if size // 8 > MAX_FILTER_BYTES:
@@ -84,22 +82,10 @@ def _filter(keys: DataFrame, n: int, rate: float, depth: int) -> tuple[np.ndarra
                 yield pd.DataFrame({"word": word.astype(np.int64), "bits": np.bitwise_or.reduceat(bit, first).astype("<u8").view(np.int64)})
 
     words = keys.mapInPandas(bits_of, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
-    blocks = words.withColumn("block", F.shiftright("word", _BLOCK_SHIFT)).repartition("block").mapInPandas(_packed_blocks, "block long, bits binary")
-    bits = np.zeros(((size + 63) // 64 + (1 << _BLOCK_SHIFT)) * 8, dtype=np.uint8)
-    width = 8 << _BLOCK_SHIFT
-    for block in blocks.toLocalIterator():  # as many bytes as the filter has
-        at = block["block"] * width
-        bits[at : at + width] |= np.frombuffer(block["bits"], dtype=np.uint8)
-    return bits[: (size + 7) // 8], size, probes
-
-
-def _packed_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Words of bits, packed into blocks of 64 kB; a task may send a block in several parts."""
-    for batch in batches:
-        for block, part in batch.groupby("block"):
-            held = np.zeros(1 << _BLOCK_SHIFT, dtype="<i8")
-            held[part["word"].to_numpy() & ((1 << _BLOCK_SHIFT) - 1)] = part["bits"].to_numpy()
-            yield pd.DataFrame({"block": [block], "bits": [held.tobytes()]})
+    found = words.toPandas()  # at most twice as many bytes as the filter has
+    bits = np.zeros((size + 63) // 64, dtype="<u8")
+    bits[found["word"].to_numpy(dtype=np.int64)] = found["bits"].to_numpy(dtype=np.int64).view(np.uint64)
+    return bits.view(np.uint8)[: (size + 7) // 8], size, probes
 
 
 def build_cascade(listed: DataFrame, universe: DataFrame) -> Cascade:
