@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 
 from pulsegrid.catalog import feeds
 from pulsegrid.catalog.registry import query, rounded
+from pulsegrid.catalog.scores import LATENCY, LOG, TIMES, load_log, timings
 from pulsegrid.catalog.streams import WSUM_SQL, day_windows, label_rows
 from pulsegrid.functions import text
+from pulsegrid.operators import filters as fl
 from pulsegrid.operators import metrics as me
+from pulsegrid.operators import reports as rp
 from pulsegrid.schema import CHANNELS, SIGNALS
 from pulsegrid.session import scratch_path
 from pulsegrid.sinks import exports, tables
@@ -237,6 +240,58 @@ def write_csv_tables(spark, sf):
     return spark.read.schema("recording_id string, n_windows long, mean_score double").option("header", "true").csv(f"{root}/records")
 
 
+def csv_again(spark, frame, name):
+    """A report table written as CSV and read back with its own types."""
+    root = scratch_path(spark, "report")
+    exports.write_csv_tables({name: frame}, root)
+    return spark.read.schema(frame.schema).option("header", "true").csv(f"{root}/{name}")
+
+
+@query(
+    "snk07_latency_csv",
+    f"""WITH {TIMES}, tp AS (SELECT test_name, record_id, ms, CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 0 ELSE 1 END AS part FROM tm), {LATENCY}
+       SELECT test_name, round(a.avg_ms, 4) AS first_avg_ms, round(b.avg_ms, 4) AS second_avg_ms, round(a.p95_ms, 4) AS first_p95_ms, round(b.p95_ms, 4) AS second_p95_ms
+       FROM (SELECT * FROM ls WHERE part = 0) a FULL JOIN (SELECT * FROM ls WHERE part = 1) b USING (test_name)""",
+)
+def latency_csv(spark, sf):
+    t, early = timings(spark, sf), F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
+    made = rp.latency_table({"first": t.where(early), "second": t.where(~early)})
+    return csv_again(spark, rounded(made, *[c for c in made.columns if c != "test_name"], digits=4), "latency")
+
+
+@query(
+    "snk07_throughput_csv",
+    f"""WITH {LOG} SELECT CASE WHEN seq % 2 = 0 THEN 'even' ELSE 'odd' END AS database, CAST(sum(rows_inserted) AS BIGINT) AS rows_inserted,
+       round(sum(duration_sec), 4) AS duration_sec, round(sum(rows_inserted) / sum(duration_sec), 4) AS rows_per_sec FROM lg
+       WHERE "table" IN ('signals', 'annotations_apnea', 'annotations_qrs') GROUP BY 1""",
+)
+def throughput_csv(spark, sf):
+    log = load_log(spark, sf)
+    made = rp.throughput_table({"even": log.where("seq % 2 = 0"), "odd": log.where("seq % 2 = 1")})
+    return csv_again(spark, rounded(made, "duration_sec", "rows_per_sec", digits=4), "throughput")
+
+
+@query("snk07_storage_csv")
+def storage_csv(spark, sf):
+    """Bytes of all record tables, plain and compacted: they differ from run to run, so there is no SQL."""
+    plain, compact = scratch_path(spark, "plain"), scratch_path(spark, "compact")
+    frames = all_frames(spark, sf)
+    for name in tables.RECORD_TABLES:
+        frames[name].write.option("compression", "none").parquet(f"{plain}/{name}")
+        tables.compact_layout(spark, f"{plain}/{name}", f"{compact}/{name}")
+    return csv_again(spark, rp.storage_table(spark, {"plain": plain, "compact": compact}), "storage")
+
+
+@query(
+    "snk07_predictions_csv",
+    f"""WITH {feeds.PREDICTIONS_SQL} SELECT 'independent' AS protocol, 'length' AS method, split, row_number() OVER (PARTITION BY split ORDER BY row_id) - 1 AS "index",
+       recording_id, y_true, y_pred, score FROM pred""",
+)
+def predictions_csv(spark, sf):
+    made = rp.window_prediction_table(feeds.predictions(spark, sf), "independent", "length", "row_id")
+    return csv_again(spark, made, "predictions")
+
+
 @query(
     "snk08_versioned_cache",
     f"""WITH {feeds.WINDOWS_SQL} SELECT window_id, y, used.reused FROM win, (VALUES (FALSE), (TRUE)) used(reused)""",
@@ -317,6 +372,32 @@ def export(spark, sf):
     return manifest.join(back, "name")
 
 
+@query(
+    "snk10_export_all",
+    f"""WITH {SIG}, {LAB}, {BEAT}, {REC}, {SUB}, n AS (SELECT 'recordings' AS name, count(*) AS n FROM rec UNION ALL SELECT 'subjects', count(*) FROM sub
+         UNION ALL SELECT 'signals', count(*) FROM sig UNION ALL SELECT 'annotations_apnea', count(*) FROM lab UNION ALL SELECT 'annotations_qrs', count(*) FROM beat)
+       SELECT name, "mode", n FROM n, (VALUES ('schema'), ('data')) m("mode")""",
+)
+def export_all(spark, sf):
+    """All five tables, schema and data, with the rows that the files hold."""
+    root, given = scratch_path(spark, "export"), all_frames(spark, sf)
+    manifest = exports.export(spark, given, root, "full").select("name", "mode")
+    held = [spark.read.parquet(f"{root}/{name}_data").agg(F.count(F.lit(1)).alias("n")).withColumn("name", F.lit(name)) for name in given]
+    return manifest.join(reduce(lambda a, b: a.unionByName(b), held), "name")
+
+
+@query(
+    "flt01_stored_range",
+    f"""WITH {SIG} SELECT recorded_at, ecg_value, sample_index FROM sig
+       WHERE recording_id = 'a01' AND recorded_at >= TIMESTAMP '2024-01-10 06:00:00' AND recorded_at < TIMESTAMP '2024-01-15 06:00:00'""",
+)
+def stored_range(spark, sf):
+    """A range of the stored signal table: record and both time bounds reach the scan."""
+    path = scratch_path(spark, "signals")
+    tables.write_table(signal_table(spark, sf), path, partition=())
+    return fl.range_query(spark.read.parquet(path), "a01", "2024-01-10 06:00:00", "5 days", ("recorded_at", "ecg_value", "sample_index"))
+
+
 @query(
     "snk11_chunked_layout",
     f"""WITH {SIG} SELECT recording_id, strftime(date_trunc('hour', recorded_at), '%Y-%m-%d-%H') AS chunk, count(*) AS n FROM sig GROUP BY 1, 2""",

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.session import broadcast_byte_limit, broadcast_row_limit, group_row_limit, materialise
+from pulsegrid.session import broadcast_byte_limit, broadcast_row_limit, group_row_limit, materialise, stored
 
 
 def _is_small(df: DataFrame, limit: int | None) -> bool:
@@ -67,24 +67,27 @@ def salted_join(
 ) -> DataFrame:
     """Shuffle join in which rows of hot keys on the ``facts`` side are spread.
 
-    Rows of ``facts`` under a hot key draw a salt from their place in their partition, so equal
-    rows and rows of any column type spread alike; the few matching rows of ``other`` are
-    repeated once per salt, so every salt finds them. A row with a NULL key has no match and
-    takes a salt of its own, whatever the number of such rows. ``how`` may be inner, left,
-    left_semi or left_anti.
+    Rows with a NULL key have no match and take no part in the shuffle. If there are hot keys, ``facts`` is written once
+    and its rows draw a salt from their place in these files: equal rows and rows of any column type spread
+    alike, and a task that is run again draws the same salts. The few matching rows of ``other`` are repeated
+    once per salt, so every salt finds them. ``how`` may be inner, left, left_semi or left_anti.
     """
     keys = list(keys)
     known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    hot = broadcast_if_small(materialise(hot_keys(facts.where(known), keys, limit)))
-    place = F.monotonically_increasing_id()
-    salt = F.when(known, F.pmod(place, F.coalesce(F.col("_salts"), F.lit(1)).cast("long"))).otherwise(place)
-    spread = facts.join(hot, keys, "left").withColumn("_salt", salt).drop("_salts")
-    repeated = (
-        other.where(known).join(hot, keys, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("_salts"), F.lit(1)).cast("long") - 1)))
-        .drop("_salts")
-    )
-    return spread.join(repeated, [*keys, "_salt"], how).drop("_salt")
+    hot = materialise(hot_keys(facts.where(known), keys, limit))
+    if hot.isEmpty():
+        met = facts.where(known).join(other.where(known), keys, how)
+    else:
+        facts = stored(facts, "salted")
+        hot = broadcast_if_small(hot)
+        salts = F.coalesce(F.col("_salts"), F.lit(1)).cast("long")
+        place = facts.where(known).withColumn("_salt", F.monotonically_increasing_id())
+        spread = place.join(hot, keys, "left").withColumn("_salt", F.pmod("_salt", salts)).drop("_salts")
+        repeated = other.where(known).join(hot, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))).drop("_salts")
+        met = spread.join(repeated, [*keys, "_salt"], how).drop("_salt")
+    if how in ("left", "left_anti"):
+        return met.unionByName(facts.where(~known), allowMissingColumns=True)
+    return met
 
 
 def rows_with_keys(df: DataFrame, keys: DataFrame, on: Sequence[str], keep: bool = True) -> DataFrame:
