@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pulsegrid.session import group_row_limit, materialise
+from pulsegrid.session import group_row_limit, materialise, ranked_row_limit
 
 PIECE = "_piece"
 SLOT = "_slot"
@@ -175,14 +175,16 @@ def with_previous(df, group, order, values, present=None, limit=None) -> DataFra
     return layout(df, group, order, limit).previous(values, present)
 
 
-def value_ranks(df: DataFrame, group: Sequence[str], value: str, limit: int | None = None) -> DataFrame:
+def value_ranks(
+    df: DataFrame, group: Sequence[str], value: str, limit: int | None = None, bound: int | None = None
+) -> DataFrame:
     """Distinct values with their rank interval [_from, _upto) and the group size _all.
 
     Values are counted first, so repeated values shrink before the shuffle; no group is
-    ever held as a list.
+    ever held as a list. ``bound`` is the size of the largest group, if it is known.
     """
     kept = df.where(F.col(value).isNotNull()).select(*group, F.col(value).alias("_value"))
-    bound = largest_group(kept, group)
+    bound = largest_group(kept, group) if bound is None else bound
     counted = kept.groupBy(*group, "_value").agg(F.count(F.lit(1)).alias("_n"))
     ranked = layout(counted, group, ["_value"], limit, bound).running({"_upto": "_n"}, {"_all": "_n"})
     return ranked.withColumn("_from", F.col("_upto") - F.col("_n"))
@@ -191,8 +193,13 @@ def value_ranks(df: DataFrame, group: Sequence[str], value: str, limit: int | No
 def order_statistic(
     df: DataFrame, group: Sequence[str], value: str, rank: Callable[[Column], Column], out: str, limit=None
 ) -> DataFrame:
-    """The value at a 0-based rank given as a function of the group size."""
-    ranked = value_ranks(df, group, value, limit)
+    """The value at a 0-based rank given as a function of the group size (large groups: see ``selection``)."""
+    bound = largest_group(df.where(F.col(value).isNotNull()), group)
+    if bound > ranked_row_limit(df.sparkSession):
+        from pulsegrid.plans.selection import select_ranks
+
+        return select_ranks(df, group, value, lambda n: F.array(rank(n))).select(*group, F.col("_value").alias(out))
+    ranked = value_ranks(df, group, value, limit, bound)
     k = rank(F.col("_all"))
     return ranked.where((k >= F.col("_from")) & (k < F.col("_upto"))).select(*group, F.col("_value").alias(out))
 
@@ -204,8 +211,13 @@ def quantiles_long(
     probabilities: Sequence[float],
     limit: int | None = None,
 ) -> DataFrame:
-    """Exact linear-interpolated quantiles as rows (group, probability, quantile)."""
-    ranked = value_ranks(df, group, value, limit)
+    """Exact linear-interpolated quantiles as rows (group, probability, quantile) (large groups: see ``selection``)."""
+    bound = largest_group(df.where(F.col(value).isNotNull()), group)
+    if bound > ranked_row_limit(df.sparkSession):
+        from pulsegrid.plans.selection import quantiles_by_counting
+
+        return quantiles_by_counting(df, group, value, probabilities)
+    ranked = value_ranks(df, group, value, limit, bound)
 
     def position(p: Column) -> Column:
         return p * (F.col("_all") - 1)

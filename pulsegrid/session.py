@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_GROUP_ROWS = 2_000_000
+DEFAULT_RANKED_ROWS = 1_000_000
 DEFAULT_BROADCAST_ROWS = 500_000
 DEFAULT_BROADCAST_BYTES = 64 << 20
 
@@ -79,6 +80,11 @@ def group_row_limit(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.pulsegrid.maxGroupRows", str(DEFAULT_GROUP_ROWS)))
 
 
+def ranked_row_limit(spark: SparkSession) -> int:
+    """Most rows of a group whose values are ranked by a sort; larger groups are read by counting passes."""
+    return int(spark.conf.get("spark.pulsegrid.maxRankedRows", str(DEFAULT_RANKED_ROWS)))
+
+
 def broadcast_row_limit(spark: SparkSession) -> int:
     """Most rows a side may have to be broadcast."""
     return int(spark.conf.get("spark.pulsegrid.maxBroadcastRows", str(DEFAULT_BROADCAST_ROWS)))
