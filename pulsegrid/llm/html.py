@@ -11,8 +11,9 @@ are decoded, white space inside a block becomes one blank, blocks of content are
 feeds in page order; nothing is dropped for its length.
 
 Defined cases: null and empty pages and pages without text give an empty text; unclosed and
-stray tags close what they can; markup that never ends is read to the end of the page; repeated
-pages give repeated rows; other columns are ignored.
+stray tags close what they can; markup that never ends (a comment, a script, a tag without its >) is left out up to the end
+of the page; repeated pages give repeated rows; other columns are ignored. Deep nesting, stray end tags and tags
+without an end take time in proportion to the page.
 """
 
 from __future__ import annotations
@@ -37,6 +38,7 @@ _TOKEN = re.compile(
     r"|<[!?][^>]*>",
     re.S | re.I,
 )
+_OPENING = re.compile(r"<[a-zA-Z/!?]")
 _NAMES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _MAY_HIDE = re.compile(r"hidden|display", re.I)
 _ATTRIBUTE = re.compile(r"""([^\s/>=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
@@ -113,12 +115,19 @@ def _hides(attributes: str) -> bool:
     return False
 
 
+def _is_open(page: str, tag: re.Match) -> bool:
+    """Does a comment or an element that is no text lack its end?"""
+    if tag["raw"]:
+        return not re.fullmatch(rf"</{tag['raw']}\s*>", page[max(page.rfind("</", tag.start(), tag.end()), tag.start()) : tag.end()], re.I)
+    return page.startswith("<!--", tag.start()) and not (tag.end() - tag.start() > 6 and page.endswith("-->", tag.start(), tag.end()))
+
+
 def blocks_of(page: str) -> list[Block]:
     """Flat text blocks in page order."""
     out: list[Block] = []
     open_: list[str] = []
     parts: list[tuple[str, bool]] = []
-    state = [0, 0, 0, 0, 0]  # boilerplate, content, names, links, hidden
+    state = [0, 0, 0, 0, 0, 0, 0]  # boilerplate, content, names, links, hidden, headings, list items
 
     def flush() -> None:
         if not parts:
@@ -131,35 +140,53 @@ def blocks_of(page: str) -> list[Block]:
                 linked += len(t) * link
             out.append(
                 Block(bare, round(len(bare) * linked / max(1, total)), state[0], state[1], state[2],
-                      not HEADINGS.isdisjoint(open_), "li" in open_)
+                      state[5] > 0, state[6] > 0)
             )
         parts.clear()
 
     before: list[list[int]] = []  # the state outside each open element
+    places: dict[str, list[int]] = {}  # of the open elements of each name
+    block_places = [-1]  # of the open block elements
 
     def enter(name: str, score: int, hidden: bool) -> None:
         before.append(list(state))
+        places.setdefault(name, []).append(len(open_))
+        if name in BLOCK:
+            block_places.append(len(open_))
         open_.append(name)
         state[0] += name in BOILERPLATE and not (name == "header" and state[1])
         state[1] += name in CONTENT
         state[2] += score
         state[3] += name == "a"
         state[4] += hidden
+        state[5] += name in HEADINGS
+        state[6] += name == "li"
 
     def pop_to(at: int) -> None:
         state[:] = before[at]
+        for name in open_[at:]:
+            places[name].pop()
+        while block_places[-1] >= at:
+            block_places.pop()
         del open_[at:], before[at:]
 
+    def last_place(name: str) -> int:
+        return (places.get(name) or [-1])[-1]
+
     def text_at(low: int, high: int) -> None:
         if high > low and not state[4]:
             parts.append((page[low:high], state[3] > 0))
 
-    at = 0
-    for tag in _TOKEN.finditer(page):
+    at, last = 0, page.rfind(">") + 1
+    never_ends = _OPENING.search(page, last)  # nothing behind the last > can end a tag
+    end = never_ends.start() if never_ends else len(page)
+    for tag in _TOKEN.finditer(page, 0, last):
         text_at(at, tag.start())
         at = tag.end()
         name = (tag["name"] or "").lower()
         if not name:
+            if at == last and _is_open(page, tag):
+                end = at  # a comment or script without an end
             continue
         if name == "br":
             parts.append((" ", False))
@@ -168,26 +195,20 @@ def blocks_of(page: str) -> list[Block]:
         if is_block:
             flush()
         if tag["end"]:
-            for i in range(len(open_) - 1, -1, -1):
-                if open_[i] == name:
-                    pop_to(i)
-                    break
-                if not is_block and open_[i] in BLOCK:
-                    break  # a stray inline end tag closes nothing outside its block
+            place = last_place(name)
+            if place >= 0 and (is_block or place > block_places[-1]):  # a stray inline end tag closes nothing outside its block
+                pop_to(place)
             continue
         if name in _CLOSES or name in _CLOSES_P:
             ends = _CLOSES.get(name, set()) | ({"p"} if name in _CLOSES_P else set())
-            for i in range(len(open_) - 1, -1, -1):
-                if open_[i] in ends:
-                    pop_to(i)
-                    break
-                if open_[i] in BLOCK:
-                    break
+            place = max(map(last_place, ends))
+            if place >= 0 and place >= block_places[-1]:  # no other block between
+                pop_to(place)
         if name in VOID or tag["attributes"].endswith("/") and name not in BLOCK:
             continue
         attributes = tag["attributes"]
         enter(name, _name_score(attributes) if attributes and name not in ("html", "body") else 0, bool(attributes and _hides(attributes)))
-    text_at(at, len(page))
+    text_at(at, end)
     flush()
     return out
 

@@ -102,3 +102,24 @@ def test_query_takes_articles_of_given_pages(spark):
 ])
 def test_only_hiding_attributes_hide(attributes, hides):
     assert texts(f"<div {attributes}><p>inside</p></div><p>after</p>") == ([] if hides else ["inside"]) + ["after"]
+
+
+OPEN_ENDS = {
+    '<p>for sure</p><div class="x never ends': "for sure", "<p>a</p><script> var x = 1;": "a", "<p>a</p><!-- a > b c": "a", "<p>a</p><title>b > c": "a",
+    "<p>a</p><!-- x -->tail": "a|tail", "<p>a</p><script>x</script\n>tail": "a|tail", "<p>a</p><!doctype x>tail": "a|tail", "a < b": "a < b", "a > b <c": "a > b",
+    "<p>a</p><!-->b": "a",
+}
+
+
+@pytest.mark.parametrize("page", OPEN_ENDS)
+def test_markup_without_an_end_is_no_text(page):
+    assert "|".join(b.text for b in html.blocks_of(page)) == OPEN_ENDS[page]
+
+
+@pytest.mark.parametrize("part,times", [("<div>x<p>", 100_000), ("<li>x", 150_000), ("<span>x", 140_000), ("<b x ", 200_000), ('<a "', 250_000), ("<!-- ", 200_000), ("x</b></div>", 90_000), ("<i><div>x</i>", 75_000)])
+def test_a_hostile_page_of_a_megabyte_takes_seconds(part, times):
+    import time
+
+    start = time.time()
+    html.blocks_of(part * times)
+    assert time.time() - start < 15
