@@ -6,11 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from pulsegrid.functions import timeline
 from pulsegrid.plans.joins import broadcast_if_small, join_lookup, salted_join
+from pulsegrid.plans.ordered import largest_group
 from pulsegrid.schema import CHANNELS, MAIN_CHANNEL, SAMPLING_RATE_HZ, WINDOW_SECONDS
-from pulsegrid.session import materialise
+from pulsegrid.session import group_row_limit, materialise, stored
 
 
 def bucket_stats(
@@ -192,6 +194,33 @@ def attach_record_stats(
     return join_lookup(windows, record_stats.select(key, *columns), [key])
 
 
+def with_record_stats(parts: DataFrame, channels: Sequence[str], key: str = "recording_id") -> DataFrame:
+    """Add each channel's record mean and spread (``__rmean``, ``__rstd``, NULL below two values) to its windows.
+
+    Where no record has more windows than one task may sort, two window functions over the same partitioning do it with one
+    shuffle; beyond that the statistics are aggregated and joined. Windows without a record get none.
+    """
+    if largest_group(parts.where(F.col(key).isNotNull()), [key]) > group_row_limit(parts.sparkSession):
+        records = record_stats_from_windows(parts, channels, key).select(
+            key,
+            *[F.col(f"{c}__mean").alias(f"{c}__rmean") for c in channels],
+            *[F.when(F.col(f"{c}__count") > 1, F.col(f"{c}__std")).alias(f"{c}__rstd") for c in channels],
+        )
+        return join_lookup(parts, records, [key], computed=True)
+    whole, known = Window.partitionBy(key), F.col(key).isNotNull()
+    total = lambda x: F.sum(x).over(whole)
+    count = lambda c: total(F.col(f"{c}__count"))
+    means = {f"{c}__rmean": F.when(known, total(F.col(f"{c}__mean") * F.col(f"{c}__count")) / F.nullif(count(c), F.lit(0))) for c in channels}
+    centred = parts.withColumns(means)
+
+    def spread(c: str) -> Column:
+        shift = F.col(f"{c}__mean") - F.col(f"{c}__rmean")
+        squares = total(F.col(f"{c}__count") * (F.col(f"{c}__std") * F.col(f"{c}__std") + shift * shift))
+        return F.when(count(c) > 1, F.sqrt(squares / F.nullif(count(c), F.lit(0))))
+
+    return centred.withColumns({f"{c}__rstd": spread(c) for c in channels})
+
+
 def normalised_mean(mean: Column, record_mean: Column, record_std: Column) -> Column:
     """Window mean in record standard deviations; NULL without a usable spread."""
     return F.when(record_std != 0, (mean - record_mean) / record_std)
@@ -213,18 +242,13 @@ def window_summaries(
 
     One pass over the samples. Samples, labels and beats are all grouped on (record,
     minute), so joining them adds no shuffle; the joined window table, thousands of times
-    smaller than the samples, is written once and gives the record statistics. ``rate`` may
+    smaller than the samples, is written once and gives the record statistics (``with_record_stats``). ``rate`` may
     name a column of samples and beats with the rate of each record.
     """
     parts = window_partials(signals, channels, rate, width, key, has_extra)
     parts = attach_labels(parts, labels, key, label_order)
-    parts = materialise(attach_event_counts(parts, beats, rate, width, key))
-    records = record_stats_from_windows(parts, channels, key).select(
-        key,
-        *[F.col(f"{c}__mean").alias(f"{c}__rmean") for c in channels],
-        *[F.when(F.col(f"{c}__count") > 1, F.col(f"{c}__std")).alias(f"{c}__rstd") for c in channels],
-    )
-    out = join_lookup(parts, records, [key], computed=True)
+    parts = stored(attach_event_counts(parts, beats, rate, width, key), "window-parts")
+    out = with_record_stats(parts, channels, key)
     open_ = availability(channels, F.col("_extra"))
     entries = []
     for c in channels:
