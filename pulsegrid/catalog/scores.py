@@ -9,6 +9,7 @@ from pulsegrid.catalog.feeds import STEPS, table
 from pulsegrid.catalog.registry import in_order, query, r6, rounded
 from pulsegrid.functions import arrays as ar
 from pulsegrid.operators import benchlog as bl
+from pulsegrid.operators import evaluation as ev
 from pulsegrid.operators import filters as fl
 from pulsegrid.operators import joins as jn
 from pulsegrid.operators import metrics as me
@@ -360,6 +361,40 @@ def fitted_threshold(scored, percent=85.0):
     return tau["tau"]
 
 
+PROTOCOLS = {"official": SPLIT, "subject_independent": SPLIT_DEV}
+
+
+def evaluation_sql(name: str) -> str:
+    return f"""SELECT * FROM (WITH {TENSOR.replace(SPLIT, PROTOCOLS[name])}, ls AS (SELECT loss.*, model_split FROM loss JOIN spl USING (window_id)),
+       tau AS (SELECT quantile_cont(loss, 0.85) AS tau FROM ls WHERE recording_id LIKE 'c%' AND y = 0 AND model_split = 'train'),
+       fl AS (SELECT recording_id, y, model_split AS split, loss, CASE WHEN loss > tau THEN 1 ELSE 0 END AS p, tau FROM ls, tau WHERE model_split IN ('val', 'test')),
+       cf AS (SELECT split, min(tau) AS tau, count(*) FILTER (y = 0 AND p = 0) AS tn, count(*) FILTER (y = 0 AND p = 1) AS fp, count(*) FILTER (y = 1 AND p = 0) AS fn,
+                count(*) FILTER (y = 1 AND p = 1) AS tp FROM fl GROUP BY 1),
+       auc AS (SELECT a.split, avg(CASE WHEN a.loss > b.loss THEN 1.0 WHEN a.loss = b.loss THEN 0.5 ELSE 0.0 END) AS roc_auc
+               FROM fl a JOIN fl b ON a.split = b.split AND a.y = 1 AND b.y = 0 GROUP BY 1),
+       rec AS (SELECT recording_id, CASE WHEN avg(y) > 0.05 THEN 1 ELSE 0 END AS label, 100.0::DOUBLE * avg(p) AS pct FROM fl WHERE split = 'test' GROUP BY 1),
+       can AS (SELECT pct AS c FROM rec UNION SELECT 0.0 UNION SELECT 100.0),
+       acc AS (SELECT c, avg(CASE WHEN (pct > c) = (label = 1) THEN 1.0 ELSE 0.0 END) AS acc FROM can, rec GROUP BY 1),
+       bst AS (SELECT CASE WHEN (SELECT count(DISTINCT label) FROM rec) = 2 THEN arg_max(c, acc - c * 1e-9) ELSE 50.0 END AS individual_tau,
+                      CASE WHEN (SELECT count(DISTINCT label) FROM rec) = 2 THEN max(acc) END AS individual_acc FROM acc)
+       SELECT '{name}' AS protocol, 'block mean' AS method, split, round(100.0 * 2 * tp / greatest(1, 2 * tp + fp + fn), 6) AS f1_pct,
+              round(100.0 * tp / greatest(1, tp + fn), 6) AS recall_pct, round(100.0 * tn / greatest(1, tn + fp), 6) AS specificity_pct,
+              round(100.0 * (tp + tn) / (tp + tn + fp + fn), 6) AS accuracy_pct, round(roc_auc, 6) AS roc_auc, round(tau, 8) AS signal_tau,
+              CASE WHEN split = 'test' THEN round(individual_tau, 6) END AS individual_tau, CASE WHEN split = 'test' THEN round(individual_acc, 6) END AS individual_acc
+       FROM cf LEFT JOIN auc USING (split), bst)"""
+
+
+@query("ml01_evaluation", " UNION ALL ".join(evaluation_sql(name) for name in PROTOCOLS))
+def evaluation(spark, sf):
+    """One detector under both protocols: thresholds, window metrics and record accuracy."""
+    protocols = {name: (te.model_input(split_windows(spark, sf, name), is_fit_row(), STEPS), is_fit_row()) for name in PROTOCOLS}
+    smooth = lambda df: df.withColumn("x_hat", ar.block_mean(F.col("x"), 4))
+    rows, _ = ev.evaluate_protocols(protocols, smooth, "block mean", features=FEATURES)
+    shown = rows.drop("precision_pct", "pr_auc")
+    numbers = [c for c in shown.columns if c not in ("protocol", "method", "split", "signal_tau")]
+    return rounded(rounded(shown, *numbers), "signal_tau", digits=8)
+
+
 @query(
     "wn08_pick_examples",
     f"""WITH {TENSOR}, st AS (SELECT window_id, stddev_pop(a) AS spread FROM t GROUP BY 1), j AS (SELECT * FROM loss JOIN st USING (window_id)),
