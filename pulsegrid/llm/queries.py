@@ -117,7 +117,7 @@ def target_resampling(spark, sf):
     return found.select("doc_id", "n_features", "weight", "score", "rank")
 
 
-@query("op11_conversation_repair")
+@query("op11_conversation_repair", repair.oracle())
 def conversation_repair(spark, sf):
     return repair.repair_conversations(table(spark, sf, "conversations"))
 

@@ -469,3 +469,76 @@ def repair_conversations(conversations: DataFrame) -> DataFrame:
         F.coalesce(F.max("audit"), F.lit("")).alias("audit"),
         F.coalesce(F.max("repaired_sha256"), F.lit(hashlib.sha256().hexdigest())).alias("repaired_sha256"),
     )
+
+
+def _extended(state: str, cost: str, letter: str, line: str) -> str:
+    """DuckDB expression: a state with one more edit; NULL for a state that is not reached."""
+    return f"CASE WHEN {state} IS NOT NULL THEN {{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 't': {state}.t || {line}}} END"
+
+
+def oracle() -> str:
+    """The query's result as DuckDB SQL: rows are taken one by one, with the least (cost, audit, text) for each end of the output."""
+    crc_byte = "(('0x' || substr(hex(encode(k)), 2 * i - 1, 2))::UBIGINT)"
+    crc = (
+        f"xor(list_reduce(list_concat([4294967295::UBIGINT], list_transform(range(1, octet_length(encode(k)) + 1), lambda i: {crc_byte})), "
+        "lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255::UBIGINT)::BIGINT + 1])), 4294967295::UBIGINT) % 20"
+    )
+    newline = "chr(10)"
+    inserted = {s: lambda state, who=who: _extended(state, str(COST[INSERT]), INSERT, f"{newline} || '{who}:'") for s, who in INSERTED.items()}
+
+    def closed(s0: str, ss: str, su: str, sa: str, source: str) -> str:
+        """Insertions before the next row, in two rounds."""
+        first = f"SELECT *, least({su}, {inserted['u'](s0)}, {inserted['u'](ss)}, {inserted['u'](sa)}) AS u1, least({sa}, {inserted['a'](su)}) AS a1 FROM {source}"
+        return f"SELECT *, least(u1, {inserted['u']('a1')}) AS u2, least(a1, {inserted['a']('u1')}) AS a2 FROM ({first})"
+
+    gone = lambda state: _extended(state, str(COST[DELETE]), DELETE, "''")
+    extra = f"(CASE WHEN r.fault = 'truncated' THEN {TRUNCATED} ELSE 0 END)"
+
+    def stays(state: str, who: str, when: str, letter: str) -> str:
+        made = _extended(state, f"{COST[letter]} + {extra}", letter, f"{newline} || {who} || ':' || r.text")
+        return f"CASE WHEN r.fault NOT IN ('blank', 'duplicate') AND {when} THEN {made} END"
+
+    keep = lambda state, initial: stays(state, "r.role", f"r.ini = '{initial}'", KEEP)
+    rerole = lambda state, who: stays(state, f"'{who}'", "TRUE", REROLE)
+    none = "NULL::STRUCT(c BIGINT, a VARCHAR, t VARCHAR)"
+    solid = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    return f"""
+WITH RECURSIVE crc_table AS (
+    SELECT list(list_reduce(list_concat([c], range(8)::UBIGINT[]), lambda x, k: xor(x >> 1, (x & 1) * 3988292384::UBIGINT)) ORDER BY c) AS crc
+    FROM (SELECT i::UBIGINT AS c FROM range(256) g(i))
+), drawn AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {crc} AS kind
+    FROM (SELECT *, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations), crc_table
+), damaged AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+           CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+           unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+    FROM drawn WHERE kind <> 0
+), placed AS (
+    SELECT *, substr(role, 1, 1) AS ini, rtrim(text, {solid}) AS bare, row_number() OVER o AS i
+    FROM damaged WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, left(text, 64), sha256(text), copy)
+), r AS (
+    SELECT *, CASE WHEN bare = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate' WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+           lag(ini) OVER (PARTITION BY conv_id ORDER BY i) || ini AS pair FROM placed
+), start AS (
+    SELECT DISTINCT conv_id, 0::BIGINT AS i, {{'c': 0::BIGINT, 'a': '', 't': ''}} AS s0, {none} AS ss, {none} AS su, {none} AS sa FROM r
+), dp AS (
+    SELECT conv_id, i, s0, ss, u2 AS su, a2 AS sa FROM ({closed('s0', 'ss', 'su', 'sa', 'start')})
+    UNION ALL
+    SELECT conv_id, i, n0, ns, u2, a2 FROM ({closed('n0', 'ns', 'nu', 'na', f'''(
+        SELECT r.conv_id, r.i, {gone('s0')} AS n0, least({gone('ss')}, {keep('s0', 's')}) AS ns,
+               least({gone('su')}, {keep('s0', 'u')}, {keep('ss', 'u')}, {keep('sa', 'u')}, {rerole('s0', 'user')}, {rerole('ss', 'user')}, {rerole('sa', 'user')}) AS nu,
+               least({gone('sa')}, {keep('su', 'a')}, {rerole('su', 'assistant')}) AS na
+        FROM dp JOIN r ON r.conv_id IS NOT DISTINCT FROM dp.conv_id AND r.i = dp.i + 1)''')})
+), best AS (
+    SELECT conv_id, arg_max(least(s0, sa), i) AS x FROM dp GROUP BY conv_id
+), told AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+           count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+           count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM r GROUP BY conv_id
+)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(x.c, 0) AS cost, coalesce(x.a, '') AS audit, sha256(coalesce(substr(x.t, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN told ON told.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM c.conv_id"""

@@ -124,6 +124,16 @@ def test_odd_rows_ties_and_nulls(spark, monkeypatch, block, fan):
     assert ours(repair.repair_conversations(spark.createDataFrame(rows, SCHEMA))) == brute(rows)
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_sql_equals_brute_force(seed):
+    import duckdb
+
+    rows, con = odd_rows(900, seed), duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    assert {r[0]: r[1:] for r in con.execute(repair.oracle()).fetchall()} == brute(rows)
+
+
 def test_one_long_conversation_in_many_blocks(spark, monkeypatch):
     monkeypatch.setattr(repair, "BLOCK", 16)
     monkeypatch.setattr(repair, "FAN", 4)
