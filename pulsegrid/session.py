@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,9 +56,36 @@ def checkpoint_root(spark: SparkSession) -> str:
     return folder
 
 
+_scopes: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder; it belongs to the innermost open ``scratch_scope``."""
+    path = f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end, the intermediate tables that were written inside.
+
+    A frame made inside reads these tables, so write the result before the scope ends::
+
+        with scratch_scope(spark):
+            near_duplicates(docs).write.parquet(target)
+    """
+    made: list[str] = []
+    _scopes.append(made)
+    try:
+        yield
+    finally:
+        _scopes.remove(made)
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        for path in made:
+            where = hadoop.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def materialise(df: DataFrame) -> DataFrame:

@@ -187,3 +187,26 @@ def test_running_sums_of_nulls(spark):
     got = {limit: rows(ordered.layout(df, ["g"], ["i"], limit).running({"run": "v"}, {"all": "v"}).select("g", "i", "v", "run", "all")) for limit in (100, 1)}
     assert got[100] == got[1]
     assert ("a", 1, None, None, 5.0) in got[1] and ("n", 2, None, None, None) in got[1]
+
+
+def test_scratch_scope_deletes_what_was_written_inside(spark, tmp_path):
+    from pathlib import Path
+
+    from pulsegrid import session
+
+    outer = session.scratch_path(spark, "outside")
+    spark.range(3).write.parquet(outer)
+    paths = []
+    with pytest.raises(RuntimeError):
+        with session.scratch_scope(spark):
+            for name in ("one", "two"):
+                paths.append(session.scratch_path(spark, name))
+                spark.range(5).write.parquet(paths[-1])
+            with session.scratch_scope(spark):
+                inner = session.stored(spark.range(7), "inner")
+                inner.write.parquet(f"{tmp_path}/result")
+                (kept,) = inner.inputFiles()[:1]
+            assert not Path(kept.removeprefix("file://")).exists() and Path(paths[0].removeprefix("file:")).exists()
+            raise RuntimeError
+    assert not any(Path(p.removeprefix("file:")).exists() for p in paths)
+    assert spark.read.parquet(f"{tmp_path}/result").count() == 7 and spark.read.parquet(outer).count() == 3
