@@ -54,3 +54,18 @@ def test_report_tables(spark, tmp_path):
     scored = spark.createDataFrame([(3, "a", "val", 1, 0, 0.5), (1, "a", "val", 0, 0, 0.1), (2, "b", "test", 1, 1, 0.9)], "window_id int, recording_id string, split string, y_true int, y_pred int, score double")
     made = {(r["split"], r["index"]): (r["recording_id"], r["score"]) for r in rp.window_prediction_table(scored, "p", "m").collect()}
     assert made == {("val", 0): ("a", 0.1), ("val", 1): ("a", 0.5), ("test", 0): ("b", 0.9)}
+
+
+def test_compaction_makes_no_folder_for_each_record(spark, tmp_path):
+    source, target = str(tmp_path / "plain"), str(tmp_path / "compact")
+    rows = spark.range(900).select(
+        F.format_string("%03d", F.col("id") % 300).alias("recording_id"), F.timestamp_seconds(F.col("id")).alias("recorded_at"), "id"
+    )
+    rows.write.parquet(source)
+    assert tables.compact_layout(spark, source, target) == 900
+    report = {r["table"]: r for r in tables.storage_report(spark, {"signals": source}, {"signals": target}).collect()}
+    assert 0 < report["signals"]["chunks"] < 20
+    packed = spark.read.parquet(target)
+    assert sorted(packed.collect(), key=lambda r: r["id"]) == sorted(rows.select(*packed.columns).collect(), key=lambda r: r["id"])
+    last = packed.withColumn("_at", F.monotonically_increasing_id()).where("recording_id = '007'").orderBy("_at").collect()
+    assert [r["id"] for r in last] == [607, 307, 7]
