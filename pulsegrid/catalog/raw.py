@@ -20,7 +20,7 @@ from pulsegrid.sinks import exports
 from pulsegrid.sources import files, paired, readers
 
 RECORDS = 40
-#: Most beats of one JSON array, so that no row or file holds a whole hot record.
+#: Beats of one JSON array (the last has the rest): no row or file holds a whole hot record, and the number of files goes by the beats.
 ARRAY_BEATS = 20_000
 #: gain and zero of the four extra channels, and the main one's.
 SCALES = ((20.0, 5), (40.0, -3), (10.0, 0), (50.0, 7))
@@ -107,14 +107,13 @@ def availability_flags(spark, sf):
     f"""WITH {feeds.BEATS_SQL} SELECT recording_id, sample_index, recorded_at FROM beat""",
 )
 def read_json_array(spark, sf):
-    """Files of one record and day each, every one an array of up to ``ARRAY_BEATS`` beats."""
+    """Files of one array each, with up to ``ARRAY_BEATS`` beats of records that follow each other."""
     root = scratch_path(spark, "arrays")
     row = F.struct("recording_id", "sample_index", F.date_format("recorded_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("recorded_at"))
-    day = F.date_format("recorded_at", "yyyyMMdd")
-    beats = with_ordinal(feeds.beats(spark, sf).withColumn("day", day), ["recording_id", "day"], ["sample_index", "recorded_at"])
+    beats = with_ordinal(feeds.beats(spark, sf), [], ["recording_id", "sample_index", "recorded_at", "row_id"])
     part = F.floor(F.col("ordinal") / ARRAY_BEATS).cast("string").alias("part")
-    arrays = beats.groupBy("recording_id", "day", part).agg(F.to_json(F.collect_list(row)).alias("body"))
-    exports.write_files(arrays.withColumn("name", F.concat_ws("_", F.lit("qrs"), "recording_id", "day", F.concat("part", F.lit(".json")))), root)
+    arrays = beats.groupBy(part).agg(F.to_json(F.collect_list(row)).alias("body"))
+    exports.write_files(arrays.withColumn("name", F.concat_ws("_", F.lit("qrs"), F.concat("part", F.lit(".json")))), root)
     back = readers.read_json_array(spark, root, BEATS)
     return back.select("recording_id", "sample_index", F.col("recorded_at").cast("timestamp_ntz").alias("recorded_at"))
 
