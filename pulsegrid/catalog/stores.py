@@ -136,7 +136,7 @@ def write_artifacts(spark, sf):
     """The raw lines of the written artifacts, taken apart as JSON."""
     root = scratch_path(spark, "artifacts")
     exports.write_artifacts({"signals": signal_table(spark, sf)}, root)
-    lines = spark.read.text(f"{root}/signals")
+    lines = spark.read.text(f"{root}/signals", recursiveFileLookup=True)
     cells = F.json_tuple("value", "recording_id", "sample_index", "recorded_at", *CHANNELS).alias(
         "id", "sample_index", "recorded_at", *CHANNELS
     )
@@ -170,7 +170,7 @@ def write_all_streams(spark, sf):
     out = None
     for stream, place in (("signals", "sample_index"), ("apnea", "minute_index"), ("qrs", "sample_index"), ("windows", "minute_index")):
         cells = F.json_tuple("value", "recording_id", place, "recorded_at").alias("id", "place", "at")
-        part = spark.read.text(f"{root}/{stream}").select(cells).groupBy(F.lit(stream).alias("stream"), F.col("id").alias("recording_id")).agg(
+        part = spark.read.text(f"{root}/{stream}", recursiveFileLookup=True).select(cells).groupBy(F.lit(stream).alias("stream"), F.col("id").alias("recording_id")).agg(
             F.count(F.lit(1)).alias("n"), F.sum(F.col("place").cast("long")).alias("places"), F.substring(F.min("at"), 1, 19).alias("first_at")
         )
         out = part if out is None else out.unionByName(part)
@@ -191,7 +191,8 @@ def discover_records(spark, sf):
     exports.write_artifacts(
         {"signals": signal_table(spark, sf), "apnea": feeds.minute_labels(spark, sf), "qrs": feeds.beats(spark, sf)}, root
     )
-    return files.discover_records(files.list_files(spark, root, "*.txt"))
+    listed = files.list_files(spark, root, "*.txt")
+    return files.discover_records(listed, packed=files.packed_records(spark, root, listed))
 
 
 @query(
@@ -211,8 +212,8 @@ def read_headers(spark, sf):
         "\n", F.lit("# header"), F.concat_ws(" ", "recording_id", F.when(F.col("h"), "3").otherwise("1"), F.lit("100.0"), F.col("n").cast("string")),
         line("", "ECG"), F.when(F.col("h"), line("r", "Resp C")), F.when(F.col("h"), line("r", "SpO2")),
     )
-    counts.select(F.col("recording_id").alias("id"), body.alias("value")).write.partitionBy("id").text(root)
-    parsed = readers.read_headers(spark, root)
+    exports.write_headers(counts.select(body.alias("value")), root)
+    parsed = readers.read_headers(spark, root, separator=readers.HEADER_END)
     return parsed.select("record_name", "sampling_rate_hz", "num_samples", F.array_join("signals", ",").alias("signals"))
 
 

@@ -72,16 +72,29 @@ def availability_flags(records: DataFrame, files: DataFrame, key: str = "record_
     )
 
 
-def discover_records(files: DataFrame, summary: DataFrame | None = None, key: str = "recording_id") -> DataFrame:
+def packed_records(spark: SparkSession, root: str, files: DataFrame, key: str = "recording_id") -> DataFrame:
+    """Record ids out of the lines of artifacts that keep many records in a file (``<kind>/part-...``)."""
+    kind = F.regexp_extract("path", rf"/({'|'.join(ARTIFACTS)})/part-[^/]+$", 1)
+    kinds = sorted(r[0] for r in files.select(kind.alias("kind")).where("kind != ''").distinct().collect())
+    if not kinds:
+        return spark.createDataFrame([], f"{key} string")
+    lines = spark.read.text([f"{root}/{k}" for k in kinds], pathGlobFilter="part-*").select(F.json_tuple("value", key).alias(key))
+    return lines.where(F.col(key).isNotNull()).distinct()
+
+
+def discover_records(files: DataFrame, summary: DataFrame | None = None, key: str = "recording_id", packed: DataFrame | None = None) -> DataFrame:
     """Record ids over the artifact names, sorted; the summary's records when there are none.
 
-    Names are ``signals_<id>.jsonl`` and the like, or folders ``<kind>/recording_id=<id>``.
+    Names are ``signals_<id>.jsonl`` and the like, or folders ``<kind>/recording_id=<id>``; ``packed`` has the ids of
+    records that no name tells.
     """
     kinds = "|".join(ARTIFACTS)
     by_name = F.regexp_extract("name", rf"^(?:{kinds})_(.+)\.jsonl?$", 1)
     by_folder = F.regexp_extract("path", rf"/(?:{kinds})/recording_id=([^/]+)/", 1)
     found = F.coalesce(F.nullif(by_name, F.lit("")), F.nullif(by_folder, F.lit("")))
     ids = files.select(found.alias(key)).where(F.col(key).isNotNull()).distinct()
+    if packed is not None:
+        ids = ids.unionByName(packed.select(key)).distinct()
     if summary is not None and ids.isEmpty():
         ids = summary.select(key).where(F.col(key).isNotNull()).distinct()
     return ids.orderBy(key)

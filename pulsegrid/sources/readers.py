@@ -98,12 +98,21 @@ def calibrations(headers: DataFrame) -> DataFrame:
     return best.select("name", F.col("c.format").alias("formats"), F.col("c.gain").alias("gains"), F.col("c.zero").alias("zeros"))
 
 
-def read_headers(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """Headers of all files below a folder; a header is small, so a file is one row."""
+#: Character that ends a header in files of many headers; it has no place in a header.
+HEADER_END = "\x1e"
+
+
+def read_headers(spark: SparkSession, path: str, glob: str | None = None, separator: str | None = None) -> DataFrame:
+    """Headers of all files below a folder; a header is small, so it is one row.
+
+    A file is one header, or with a ``separator`` many that it parts (see ``exports.write_headers``).
+    """
     reader = spark.read.option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    texts = reader.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
+    if separator:
+        reader = reader.option("lineSep", separator)
+    texts = reader.text(path, wholetext=not separator).select(F.col("_metadata.file_path").alias("path"), "value")
     return parse_headers(texts)
 
 
