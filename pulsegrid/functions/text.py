@@ -54,9 +54,14 @@ def safe_name(text: Column) -> Column:
 
 
 def format_bytes(size: Column) -> Column:
-    """Size with the largest unit that keeps it at 1 or more, two decimals."""
+    """Size with the largest unit that keeps it at 1 or more, two decimals.
+
+    The exact value is rounded, half to even: ``format_number`` does that, ``format_string`` rounds the
+    shortest decimal text of the double, half up (1.125 to 1.13, 1.005 to 1.01).
+    """
     size = size.cast("double")
-    out = F.format_string("%.2f " + SIZE_UNITS[0], size)
+    shown = lambda n, unit: F.concat(F.translate(F.format_number(n, 2), ",", ""), F.lit(f" {unit}"))
+    out = shown(size, SIZE_UNITS[0])
     for power, unit in enumerate(SIZE_UNITS[1:], start=1):
-        out = F.when(size >= 1024.0**power, F.format_string(f"%.2f {unit}", size / 1024.0**power)).otherwise(out)
+        out = F.when(size >= 1024.0**power, shown(size / 1024.0**power, unit)).otherwise(out)
     return out
