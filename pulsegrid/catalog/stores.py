@@ -222,11 +222,12 @@ def read_headers(spark, sf):
     """SELECT round_even(value * 40, 0) / 200 AS value, count(*) AS n FROM events GROUP BY 1""",
 )
 def read_samples(spark, sf):
-    """Values written as 16-bit files by the tasks, read back and counted."""
+    """Values written as 16-bit files by the tasks (32-bit if 16 bits cannot hold one), read back and counted."""
     root = scratch_path(spark, "samples")
     values = feeds.table(spark, sf, "events").select((F.col("value") / 5).alias("value"))
-    exports.write_samples(values, "value", root).collect()
-    back = readers.read_samples(spark, root, ["value"], range_bytes=10_000)
+    bits = exports.sample_bits(values, "value")
+    exports.write_samples(values, "value", root, bits=bits).collect()
+    back = readers.read_samples(spark, root, ["value"], range_bytes=10_000, bits=bits)
     return back.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
 
 

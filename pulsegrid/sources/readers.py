@@ -131,20 +131,20 @@ def _open(path: str):
     return system.open_input_file(inner)
 
 
-def _sample_files(spark: SparkSession, path: str, channels: int, glob: str | None, calibration: DataFrame | None) -> DataFrame:
+def _sample_files(spark: SparkSession, path: str, channels: int, glob: str | None, calibration: DataFrame | None, bits: int) -> DataFrame:
     """path, recording_id, frames, gains, zeros of sample files; raises on what cannot be read whole."""
-    width = channels * SAMPLE_BYTES
+    width = channels * bits // 8
     files = list_files(spark, path, glob).withColumn("recording_id", stem(F.col("name")))
     if calibration is None:
         same = lambda v: F.array(*[F.lit(v)] * channels)
-        files = files.withColumns({"formats": same("16"), "gains": same(UNITS_PER_MILLIVOLT), "zeros": same(0.0)})
+        files = files.withColumns({"formats": same(str(bits)), "gains": same(UNITS_PER_MILLIVOLT), "zeros": same(0.0)})
     else:
         files = files.join(calibration, "name", "left")
     files = materialise(files.select("path", "name", "recording_id", "length", "formats", "gains", "zeros"))
     faults = {
         "are not described by a header": F.col("formats").isNull(),
         f"do not have {channels} channels": F.size("formats") != channels,
-        "are not in format 16": F.exists("formats", lambda f: f != "16"),
+        f"are not in format {bits}": F.exists("formats", lambda f: f != str(bits)),
         f"end with a part of a frame of {width} bytes": F.col("length") % width != 0,
     }
     for what, wrong in faults.items():
@@ -162,8 +162,9 @@ def read_samples(
     max_samples: int | None = None,
     calibration: DataFrame | None = None,
     range_bytes: int = 128 << 20,
+    bits: int = 8 * SAMPLE_BYTES,
 ) -> DataFrame:
-    """Interleaved 16-bit little-endian samples as rows (recording_id, sample_index, channels).
+    """Interleaved 16-bit (format 32: 32-bit) little-endian samples as rows (recording_id, sample_index, channels).
 
     A value is (number - zero) / gain of its channel, as ``calibration`` (see ``calibrations``)
     says for its file; without it, 200 units from zero for every channel. Files that are not
@@ -176,9 +177,10 @@ def read_samples(
     import numpy as np
 
     names = list(channels)
-    width = len(names) * SAMPLE_BYTES
+    kind = {16: "<i2", 32: "<i4"}[bits]
+    width = len(names) * bits // 8
     step = max(1, range_bytes // width)
-    files = _sample_files(spark, path, len(names), glob, calibration)
+    files = _sample_files(spark, path, len(names), glob, calibration, bits)
     if max_samples is not None:
         files = files.withColumn("_frames", F.least("_frames", F.lit(max_samples).cast("long")))
     ranges = files.where("_frames > 0").select(
@@ -199,7 +201,7 @@ def read_samples(
                     stream.seek(row.first * width)
                     for start in range(0, row.n, at_once):
                         count = min(at_once, row.n - start)
-                        raw = np.frombuffer(stream.read(count * width), dtype="<i2").reshape(count, len(names))
+                        raw = np.frombuffer(stream.read(count * width), dtype=kind).reshape(count, len(names))
                         first = row.first + start
                         yield pd.DataFrame(
                             {
