@@ -99,10 +99,10 @@ def replace_records(spark, sf):
     """Write all records, replace those of category b on disk twice, read everything back."""
     path = scratch_path(spark, "signals")
     signals = signal_table(spark, sf).select("recording_id", "sample_index", "recorded_at", "ecg_value")
-    tables.write_table(signals, path)
+    tables.write_buckets(signals, path)
     fresh = signals.where(text.category(F.col("recording_id")) == "b").withColumn("ecg_value", F.col("ecg_value") * 2)
-    tables.replace_records(spark, path, fresh)
-    tables.replace_records(spark, path, fresh)
+    for _ in range(2):
+        tables.replace_in_buckets(spark, path, fresh)
     return spark.read.parquet(path).select("recording_id", "sample_index", "recorded_at", "ecg_value")
 
 

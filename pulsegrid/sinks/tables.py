@@ -13,12 +13,21 @@ from pyspark.sql import functions as F
 
 from pulsegrid.operators.joins import without_match
 from pulsegrid.plans.joins import rows_with_keys
+from pulsegrid.session import scratch_scope, stored
 
 # Tables in load order, with the key that an insert must not repeat.
 LOAD_ORDER = ("subjects", "recordings", "signals", "annotations_apnea", "annotations_qrs")
 TABLE_KEYS = {"subjects": "subject_id", "recordings": "recording_id"}
 RECORD_TABLES = ("signals", "annotations_apnea", "annotations_qrs")
 KEY = "recording_id"
+#: Partition column and number of folders of a table whose records are too many for a folder each.
+BUCKET = "bucket"
+BUCKETS = 64
+
+
+def bucket_of(key: str = KEY, buckets: int = BUCKETS) -> Column:
+    """Bucket of a record: the same for every row of it."""
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
 
 
 def _fs(spark: SparkSession, path: str):
@@ -176,6 +185,36 @@ def replace_records(spark: SparkSession, path: str, rows: DataFrame, ids: Sequen
     return count
 
 
+def write_buckets(df: DataFrame, path: str, sort: Sequence[str] = (KEY, "recorded_at"), mode: str = "append", buckets: int = BUCKETS) -> int:
+    """Write a table in a fixed number of folders, each with the whole records of one hash bucket."""
+    return write_table(df.withColumn(BUCKET, bucket_of(buckets=buckets)), path, (BUCKET, *sort), (BUCKET,), mode)
+
+
+def replace_in_buckets(
+    spark: SparkSession, path: str, rows: DataFrame, ids: Sequence[str] = (), sort: Sequence[str] = (KEY, "recorded_at"), buckets: int = BUCKETS
+) -> int:
+    """Replace whole records of a table that ``write_buckets`` made; returns the rows written for them.
+
+    The buckets of these records are written anew, with the rows of their other records, and take the place of the old ones in one
+    commit. Ids without new rows are deleted. Running it twice leaves the same table.
+    """
+    with scratch_scope(spark):
+        fresh = stored(rows.withColumn(BUCKET, bucket_of(buckets=buckets)), "fresh")
+        gone = spark.createDataFrame([(i,) for i in ids], f"{KEY} string")
+        keys = fresh.select(F.col(KEY).cast("string").alias(KEY)).unionByName(gone).distinct()
+        touched = [r[0] for r in keys.select(bucket_of(buckets=buckets)).distinct().collect()]
+        if exists(spark, path):
+            old = spark.read.parquet(path).where(F.col(BUCKET).isin(touched))
+            whole = old.join(keys.withColumnRenamed(KEY, "_key"), F.col(KEY).cast("string").eqNullSafe(F.col("_key")), "left_anti").unionByName(fresh)
+        else:
+            whole = fresh
+        whole = stored(whole, "replaced")
+        write_table(whole, path, (BUCKET, *sort), (BUCKET,), "overwrite")
+        filled = {r[0] for r in whole.select(BUCKET).distinct().collect()}
+        drop_partitions(spark, path, [str(b) for b in touched if b not in filled], BUCKET)
+        return fresh.count()
+
+
 def cleanup_records(spark: SparkSession, root: str, ids: Sequence[str]) -> None:
     """Delete the records from every table, then their subjects if nothing refers to them."""
     for name in RECORD_TABLES:
