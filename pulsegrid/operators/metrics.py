@@ -190,13 +190,14 @@ def _score_gap(records: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def score_gap(records: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Separation between healthy and pathological records, or the interval of their overlap."""
+    """Separation between healthy and pathological records, or the interval of their overlap; neither where a class is missing."""
     ends = _score_gap(records, by)
     hi, lo = F.col("max_healthy_pct"), F.col("min_pathological_pct")
+    both = hi.isNotNull() & lo.isNotNull()  # least and greatest skip NULL
     return ends.select(
         *by, hi, lo, "gap",
         F.when(hi < lo, "gap").when(hi >= lo, "overlap").alias("kind"),
-        F.least(hi, lo).alias("interval_start"), F.greatest(hi, lo).alias("interval_end"),
+        F.when(both, F.least(hi, lo)).alias("interval_start"), F.when(both, F.greatest(hi, lo)).alias("interval_end"),
     )
 
 

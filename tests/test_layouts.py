@@ -1,4 +1,4 @@
-"""Files and folders whose number follows the rows, not the number of records."""
+"""Files and folders whose number follows the rows, not the number of records; values that no step may change."""
 
 from pathlib import Path
 
@@ -94,3 +94,11 @@ def test_sizes_round_the_exact_value(spark):
         return f"{size:.2f} {('B', 'KB', 'MB', 'GB', 'TB')[unit]}"
 
     assert {r["v"]: r["s"] for r in rows.select("v", format_bytes(F.col("v")).alias("s")).collect()} == {v: plain(v) for v in sizes}
+
+
+def test_no_interval_without_both_classes(spark):
+    from pulsegrid.operators import metrics as me
+
+    rows = spark.createDataFrame([("a", 1, 17.0), ("a", 1, 20.0), ("b", 0, 3.0), ("b", 1, 9.0)], "g string, record_label int, anomaly_percentage double")
+    found = {r["g"]: (r["kind"], r["interval_start"], r["interval_end"]) for r in me.score_gap(rows, ["g"]).collect()}
+    assert found == {"a": (None, None, None), "b": ("gap", 3.0, 9.0)}
