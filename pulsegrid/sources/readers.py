@@ -131,7 +131,7 @@ def _open(path: str):
     return system.open_input_file(inner)
 
 
-def _sample_files(spark: SparkSession, path: str, channels: int, glob: str | None, calibration: DataFrame | None, bits: int) -> DataFrame:
+def _sample_files(spark: SparkSession, path: str, channels: int, glob: str | None, calibration: DataFrame | None, bits: int = 8 * SAMPLE_BYTES) -> DataFrame:
     """path, recording_id, frames, gains, zeros of sample files; raises on what cannot be read whole."""
     width = channels * bits // 8
     files = list_files(spark, path, glob).withColumn("recording_id", stem(F.col("name")))
