@@ -94,3 +94,13 @@ def rows_with_keys(df: DataFrame, keys: DataFrame, on: Sequence[str], keep: bool
     """Keep (or drop) the rows whose key is listed; the key list is deduplicated first."""
     how = "left_semi" if keep else "left_anti"
     return join_lookup(df, keys.select(*on).distinct(), on, how, computed=True)
+
+
+def tables_with_keys(frames: Sequence[DataFrame], keys: DataFrame, on: Sequence[str]) -> list[DataFrame]:
+    """Keep, in every table, the rows whose key is listed.
+
+    The key list is a table that is already written; it is measured once for all tables. Repeats in it do no harm.
+    """
+    small = bool(frames) and _is_small(keys.select(*on), None)
+    met = (lambda df: df.join(F.broadcast(keys.select(*on)), list(on), "left_semi")) if small else (lambda df: salted_join(df, keys.select(*on), on, "left_semi"))
+    return [met(df) for df in frames]

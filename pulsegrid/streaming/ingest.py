@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from pulsegrid.plans.joins import rows_with_keys
-from pulsegrid.session import materialise, named
+from pulsegrid.plans.joins import tables_with_keys
+from pulsegrid.session import materialise, named, stored
 from pulsegrid.sinks import tables
 
 KEY = "recording_id"
@@ -44,16 +44,21 @@ def announce(records: DataFrame, root: str, folder: str) -> None:
 
 
 def staged_tables(spark: SparkSession, root: str, announced: DataFrame, names: Sequence[str]) -> dict[str, DataFrame]:
-    """The tables of announced records, read from the folders that hold them and no others."""
+    """The tables of announced records, read from the folders that hold them and no others.
+
+    ``announced`` is a written table. The list of its records is made once for all tables, not once for each.
+    """
     folders = [r["folder"] for r in announced.select("folder").distinct().collect()]  # one for each stage() call
-    records = announced.select(KEY).distinct()
     frames: dict[str, DataFrame] = {}
     for name in names:
         parts = [tables.read_table(spark, f"{root}/{folder}/{name}") for folder in sorted(folders)]
         parts = [p for p in parts if p is not None]
         if parts:
-            whole = reduce(lambda a, b: a.unionByName(b), parts)
-            frames[name] = rows_with_keys(whole, records, [KEY]) if KEY in whole.columns else whole
+            frames[name] = reduce(lambda a, b: a.unionByName(b), parts)
+    keyed = [name for name, whole in frames.items() if KEY in whole.columns]
+    if keyed:
+        records = announced.select(KEY) if len(folders) == 1 else stored(announced.select(KEY).distinct(), "records")
+        frames |= zip(keyed, tables_with_keys([frames[name] for name in keyed], records, [KEY]), strict=True)
     return frames
 
 
@@ -86,7 +91,7 @@ def staged_ingest(
     stream = manifest.json(f"{staging}/manifest")
 
     def load(batch: DataFrame, number: int) -> None:
-        announced = materialise(batch.select(KEY, "folder").distinct())
+        announced = stored(batch.select(KEY, "folder").distinct(), "announced")
         frames = staged_tables(spark, staging, announced, names)
         if not frames:
             return  # loaded and dropped before an interruption

@@ -369,3 +369,29 @@ def test_stream_equals_batch(spark, tmp_path):
     for rec, at, v in rows:
         want.setdefault((rec, at.replace(second=0)), []).append(v)
     assert got == {k: (len(v), min(v), max(v)) for k, v in want.items()}
+
+
+@pytest.mark.parametrize("folders,limit", [(1, "500000"), (2, "500000"), (2, "0")])
+def test_records_of_a_batch_are_listed_once_for_all_tables(spark, tmp_path, monkeypatch, folders, limit):
+    from pulsegrid.plans import joins
+
+    staging = str(tmp_path / "staging")
+    made = [(f"a{i:02d}", j) for i in range(6) for j in range(3)]
+    rows = spark.createDataFrame(made, "recording_id string, v int")
+    subjects = spark.createDataFrame([("s1",), ("s2",)], "subject_id string")
+    frames = {"subjects": subjects, **dict.fromkeys(("recordings", "signals", "annotations_apnea", "annotations_qrs"), rows)}
+    names = [ingest.stage(frames, staging, ()) for _ in range(folders)]
+    told = [(i, f) for i in ("a01", "a04") for f in names]
+    announced = spark.createDataFrame([*told, told[0]], ingest.MANIFEST)
+    lists, measure = [], joins._is_small
+    monkeypatch.setattr(joins, "_is_small", lambda df, most: lists.append(df.columns) or measure(df, most))
+    spark.conf.set("spark.pulsegrid.maxBroadcastRows", limit)
+    try:
+        seen = ingest.staged_tables(spark, staging, announced, tables.LOAD_ORDER)
+    finally:
+        spark.conf.unset("spark.pulsegrid.maxBroadcastRows")
+    assert lists == [["recording_id"]]
+    assert list(seen) == list(tables.LOAD_ORDER) and seen["subjects"].count() == 2 * folders
+    for name in tables.LOAD_ORDER[1:]:
+        want = sorted(r for r in made if r[0] in ("a01", "a04") for _ in range(folders))
+        assert sorted((r["recording_id"], r["v"]) for r in seen[name].collect()) == want
