@@ -2,7 +2,8 @@
 
 Measured on windows of 6,000 samples the batch form of the bins costs a small fraction of
 the interpreted lambda expression and, unlike explode with two aggregations, shuffles
-nothing. ``functions.arrays`` has the same functions as plain expressions. The bins
+nothing. The numbers of the bins are read from and written to Arrow's buffers: as Python objects they need many times
+that memory in each worker. ``functions.arrays`` has the same functions as plain expressions. The bins
 are declared non-deterministic only to keep the optimizer from repeating them; filter rows
 before, not after, that column.
 """
@@ -13,6 +14,8 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,30 +27,52 @@ def _lists(cube: np.ndarray) -> pd.Series:
     return pd.Series([list(row) for row in cube], dtype="object")
 
 
+#: Windows whose intermediate arrays are held at once.
+_ROWS = 1024
+
+
+def sequences(column: pa.Array) -> np.ndarray:
+    """The lists of a batch as one array (rows, length), without a Python object for each; null numbers become NaN."""
+    lengths = pc.unique(pc.list_value_length(column))
+    if column.null_count or len(lengths) > 1:
+        raise ValueError(f"arrays of one length expected, found lengths {lengths.to_pylist()}")
+    return column.flatten().to_numpy(zero_copy_only=False).astype("float64", copy=False).reshape(len(column), -1)
+
+
+def tensor_lists(cube: np.ndarray) -> pa.Array:
+    """The way back: a column of arrays of arrays; NaN becomes null."""
+    n, channels, steps = cube.shape
+    values = pa.array(np.ascontiguousarray(cube).reshape(-1), pa.float64(), from_pandas=True)
+    inner = pa.ListArray.from_arrays(np.arange(0, n * channels * steps + 1, steps, dtype="int32"), values)
+    return pa.ListArray.from_arrays(np.arange(0, n * channels + 1, channels, dtype="int32"), inner)
+
+
 def morphology_bins(x: Column, steps: int = 100) -> Column:
     """Feature tensor of a window: mean, std, min, max, range, slope, energy per bin."""
 
-    @F.pandas_udf(TENSOR)
-    def bins(windows: pd.Series) -> pd.Series:
-        def tensor(window) -> np.ndarray:
-            v = np.asarray(window, dtype="float64")
-            if len(v) % steps:
-                raise ValueError(f"array length {len(v)} not divisible by {steps}")
-            return v.reshape(steps, -1)
-
+    @F.arrow_udf(TENSOR)
+    def bins(windows: pa.Array) -> pa.Array:
         if len(windows) == 0:
-            return pd.Series([], dtype="object")
-        cube = np.stack([tensor(w) for w in windows])
-        low, high = cube.min(axis=2), cube.max(axis=2)
-        return _lists(
-            np.stack(
-                [
-                    cube.mean(axis=2), cube.std(axis=2), low, high, high - low,
-                    cube[:, :, -1] - cube[:, :, 0], (cube * cube).mean(axis=2),
-                ],
-                axis=1,
+            return pa.array([], pa.list_(pa.list_(pa.float64())))
+        rows = sequences(windows)
+        if rows.shape[1] % steps or not rows.shape[1]:
+            raise ValueError(f"array length {rows.shape[1]} not divisible by {steps}")
+        made = []
+        for at in range(0, len(rows), _ROWS):
+            cube = rows[at : at + _ROWS].reshape(-1, steps, rows.shape[1] // steps)
+            low, high = cube.min(axis=2), cube.max(axis=2)
+            made.append(
+                tensor_lists(
+                    np.stack(
+                        [
+                            cube.mean(axis=2), cube.std(axis=2), low, high, high - low,
+                            cube[:, :, -1] - cube[:, :, 0], (cube * cube).mean(axis=2),
+                        ],
+                        axis=1,
+                    )
+                )
             )
-        )
+        return pa.concat_arrays(made)
 
     return bins.asNondeterministic()(x)
 

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, Imputer, StandardScaler, VectorAssembler, VectorSlicer
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulsegrid.functions import arrays as ar
+from pulsegrid.functions.batches import sequences
 from pulsegrid.operators import metrics as me
 from pulsegrid.operators.reshape import head
 from pulsegrid.operators.tensors import sequence_features
@@ -234,20 +236,16 @@ def dtw_alignment(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return sums, counts, table[s, m]
 
 
-def _sequences(values: pd.Series) -> np.ndarray:
-    return np.stack([np.asarray(v, dtype="float64") for v in values])
-
-
 def nearest_by_dtw(df: DataFrame, centres: Sequence[Sequence[float]], sequence: str = "sequence") -> DataFrame:
     """Add the nearest centre by DTW and its distance; centres are a few short sequences."""
     fixed = [np.asarray(c, dtype="float64") for c in centres]
 
-    @F.pandas_udf("struct<cluster: int, distance: double>")
-    def nearest(s: pd.Series) -> pd.DataFrame:
-        if len(s) == 0:
-            return pd.DataFrame({"cluster": pd.Series(dtype="int32"), "distance": pd.Series(dtype="float64")})
-        at, distance, _ = nearest_centre(_sequences(s), fixed)
-        return pd.DataFrame({"cluster": at.astype("int32"), "distance": distance})
+    @F.arrow_udf("struct<cluster: int, distance: double>")
+    def nearest(s: pa.Array) -> pa.Array:
+        at, distance = np.empty(0), np.empty(0)
+        if len(s):
+            at, distance, _ = nearest_centre(sequences(s), fixed)
+        return pa.StructArray.from_arrays([pa.array(at.astype("int32")), pa.array(distance, from_pandas=True)], names=["cluster", "distance"])
 
     return df.withColumn("_n", nearest(F.col(sequence))).select("*", "_n.cluster", "_n.distance").drop("_n")
 
@@ -263,14 +261,14 @@ def dtw_round(df: DataFrame, centres: Sequence[Sequence[float]], sequence: str =
     """
     fixed = [np.asarray(c, dtype="float64") for c in centres]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = [np.zeros(len(c)) for c in fixed]
         counts = [np.zeros(len(c), dtype=np.int64) for c in fixed]
         inertia, skipped, pairs = 0.0, 0, 0
         for batch in batches:
-            if len(batch) == 0:
+            if batch.num_rows == 0:
                 continue
-            rows = _sequences(batch[sequence])
+            rows = sequences(batch.column(sequence))
             at, _, left_out = nearest_centre(rows, fixed)
             skipped, pairs = skipped + left_out, pairs + len(rows) * len(fixed)
             for c in range(len(fixed)):
@@ -280,13 +278,12 @@ def dtw_round(df: DataFrame, centres: Sequence[Sequence[float]], sequence: str =
                     sums[c] += total
                     counts[c] += number
                     inertia += float(squared.sum())
-        yield pd.DataFrame(
-            [(c, t, sums[c][t], counts[c][t], 0.0) for c in range(len(fixed)) for t in range(len(fixed[c]))]
-            + [(-1, 0, float(skipped), pairs, inertia)],
-            columns=["cluster", "t", "total", "n", "inertia"],
-        )
+        cells = [(c, t, float(sums[c][t]), int(counts[c][t]), 0.0) for c in range(len(fixed)) for t in range(len(fixed[c]))]
+        columns = zip(*cells, (-1, 0, float(skipped), pairs, inertia), strict=True)
+        kinds = (pa.int32(), pa.int32(), pa.float64(), pa.int64(), pa.float64())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["cluster", "t", "total", "n", "inertia"])
 
-    made = df.select(sequence).mapInPandas(run, "cluster int, t int, total double, n long, inertia double")
+    made = df.select(sequence).mapInArrow(run, "cluster int, t int, total double, n long, inertia double")
     found = made.groupBy("cluster", "t").agg(F.sum("total").alias("total"), F.sum("n").alias("n"), F.sum("inertia").alias("inertia"))
     fresh, inertia, skipped = [list(map(float, c)) for c in fixed], 0.0, 0.0
     for r in found.collect():

@@ -123,3 +123,58 @@ def test_result_queries_cover_their_rows(spark, name):
         total = [r for r in rows if r["table"] == "total"][0]
         parts = [r for r in rows if r["table"] != "total"]
         assert total["bytes_before"] == sum(r["bytes_before"] for r in parts) and total["ratio"] == pytest.approx(total["bytes_before"] / total["bytes_after"])
+
+
+@pytest.fixture
+def one_batch():
+    """10,000 windows, and the most memory that Python and numpy take for a call on them."""
+    import tracemalloc
+
+    def most(call):
+        tracemalloc.start()
+        try:
+            made = call()
+            return made, tracemalloc.get_traced_memory()[1] / 2**20
+        finally:
+            tracemalloc.stop()
+
+    return np.random.default_rng(0).normal(size=(10_000, 7, 16)), most
+
+
+def handed_over(monkeypatch, made):
+    """The function that a map over Arrow batches is given; ``made`` stands for its result."""
+    found = []
+    monkeypatch.setattr(type(made), "mapInArrow", lambda self, fn, schema: found.append(fn) or made)
+    return found
+
+
+def test_a_barycentre_round_takes_no_object_for_each_window(spark, monkeypatch, one_batch):
+    """One round over 10,000 sequences of 16 steps (1.2 MB) takes a few times their bytes."""
+    cube, most = one_batch
+    df = spark.createDataFrame([(0, [0.0])], "window_id long, sequence array<double>")
+    found = handed_over(monkeypatch, spark.createDataFrame([], "cluster int, t int, total double, n long, inertia double"))
+    centres = [cube[0, 0].tolist(), cube[1, 0].tolist()]
+    le.dtw_round(df, centres)
+    import pyarrow as pa
+
+    flat = pa.ListArray.from_arrays(np.arange(0, 160_001, 16, dtype="int32"), np.ascontiguousarray(cube[:, 0]).reshape(-1))
+    made, peak = most(lambda: list(found[0](iter([pa.RecordBatch.from_arrays([flat], names=["sequence"])]))))
+    at, _, _ = le.nearest_centre(cube[:, 0], [np.array(c) for c in centres])
+    assert made[0].num_rows == 33 and sum(made[0].column("n").to_pylist()[:16]) >= 16 * int((at == 0).sum())
+    assert peak < 20
+
+
+def test_tensors_through_arrow_keep_numbers_and_refuse_other_shapes():
+    import pyarrow as pa
+
+    from pulsegrid.functions import batches
+
+    cube = np.arange(24.0).reshape(2, 3, 4)
+    cube[0, 1, 2] = np.nan
+    column = batches.tensor_lists(cube)
+    assert column.to_pylist()[0][1] == [4.0, 5.0, None, 7.0]
+    assert np.array_equal(batches.sequences(column.flatten()), cube.reshape(6, 4), equal_nan=True)
+    assert np.array_equal(batches.sequences(column.slice(1).flatten()), cube[1])
+    for bad in ([[1.0], [1.0, 2.0]], [[1.0], None]):
+        with pytest.raises(ValueError, match="one length"):
+            batches.sequences(pa.array(bad, pa.list_(pa.float64())))
