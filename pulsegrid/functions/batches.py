@@ -2,8 +2,8 @@
 
 Measured on windows of 6,000 samples the batch form of the bins costs a small fraction of
 the interpreted lambda expression and, unlike explode with two aggregations, shuffles
-nothing. The numbers of the bins are read from and written to Arrow's buffers: as Python objects they need many times
-that memory in each worker. ``functions.arrays`` has the same functions as plain expressions. The bins
+nothing. The numbers of windows and tensors are read from and written to Arrow's buffers: as Python objects they need
+many times that memory in each worker. ``functions.arrays`` has the same functions as plain expressions. The bins
 are declared non-deterministic only to keep the optimizer from repeating them; filter rows
 before, not after, that column.
 """
@@ -13,7 +13,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -23,10 +22,6 @@ from pyspark.sql import types as T
 TENSOR = T.ArrayType(T.ArrayType(T.DoubleType()))
 
 
-def _lists(cube: np.ndarray) -> pd.Series:
-    return pd.Series([list(row) for row in cube], dtype="object")
-
-
 #: Windows whose intermediate arrays are held at once.
 _ROWS = 1024
 
@@ -39,6 +34,15 @@ def sequences(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype("float64", copy=False).reshape(len(column), -1)
 
 
+def tensors(column: pa.Array) -> np.ndarray:
+    """Arrays of arrays of one shape as (rows, channels, steps)."""
+    lengths = pc.unique(pc.list_value_length(column))
+    if column.null_count or len(lengths) > 1:
+        raise ValueError(f"tensors of one shape expected, found channels {lengths.to_pylist()}")
+    flat = sequences(column.flatten())
+    return flat.reshape(len(column), -1, flat.shape[1])
+
+
 def tensor_lists(cube: np.ndarray) -> pa.Array:
     """The way back: a column of arrays of arrays; NaN becomes null."""
     n, channels, steps = cube.shape
@@ -99,14 +103,15 @@ def sequence_features(x: np.ndarray) -> np.ndarray:
 
 
 def map_tensor(df: DataFrame, keys: Sequence[str], tensor: str, out: str, fn: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
-    """Apply ``fn`` to Arrow batches of the tensor column; only the keys travel along."""
+    """Apply ``fn`` to the tensor column, at most ``_ROWS`` windows at once; only the keys travel along."""
     slim = df.select(*keys, tensor)
     schema = T.StructType([*[slim.schema[k] for k in keys], T.StructField(out, TENSOR)])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if len(batch):
-                cube = np.stack([np.stack([np.asarray(c, dtype="float64") for c in w]) for w in batch[tensor]])
-                yield batch[list(keys)].assign(**{out: _lists(fn(cube)).to_numpy()})
+            for at in range(0, batch.num_rows, _ROWS):
+                part = batch.slice(at, _ROWS)
+                made = tensor_lists(fn(tensors(part.column(tensor))))
+                yield pa.RecordBatch.from_arrays([*[part.column(k) for k in keys], made], names=[*keys, out])
 
-    return slim.mapInPandas(run, schema)
+    return slim.mapInArrow(run, schema)
